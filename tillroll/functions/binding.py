@@ -1,10 +1,10 @@
-"""Name an intermediate value inside one Column expression."""
+"""Compute an expensive value once, whatever is built on top of it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -15,3 +15,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     a lambda variable instead.
     """
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def settled(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add ``columns`` so that later filters use their values, not their expressions.
+
+    The optimizer moves a filter below the projection it reads from and puts a
+    copy of the expression into it; for JSON parsing that doubles the work at
+    every level. It does not move filters below a generator, so the columns
+    pass through a one-element ``explode``.
+    """
+    packed = F.struct(*[value.alias(name) for name, value in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.explode_outer(F.array(packed)).alias("_settled")).select(
+        *kept, "_settled.*"
+    )

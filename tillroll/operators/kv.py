@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll import schemas
+from tillroll.functions.binding import let, settled
 from tillroll.functions.text import receipt_labels
 
 
@@ -85,16 +86,21 @@ def kv_wide(
     gives a NULL column. Equal to ``kv_pivot(kv_long(..))`` for documents that
     have at least one pair; documents without one keep a row here.
     """
-    parsed = with_labels(parse_kv(df, column, "_kv"), "_kv", "_labels")
-    # A pair without a value must not win over a later one that has a value.
-    live = F.zip_with("_labels", "_kv.Value", lambda name, v: F.when(v.isNotNull(), name))
-    located = parsed.withColumn("_live", live)
+    bag = F.from_json(F.col(column), f"STRUCT<{schemas.KV_BAG}>")
+
+    def located(kv):
+        names = receipt_labels(kv["Type"], kv["Key"])
+        # A pair without a value must not win over a later one that has a value.
+        live = F.zip_with(names, kv["Value"], lambda name, v: F.when(v.isNotNull(), name))
+        return F.struct(live.alias("labels"), kv["Value"].alias("values"))
+
+    parsed = settled(df, {"_kv": let(bag, located)})
 
     def pick(name):
-        at = F.array_position("_live", F.lit(name)).cast("int") - 1
-        return F.get("_kv.Value", at).alias(name)
+        at = F.array_position("_kv.labels", F.lit(name)).cast("int") - 1
+        return F.get("_kv.values", at).alias(name)
 
-    return located.select(*keep, *[pick(name) for name in labels])
+    return parsed.select(*keep, *[pick(name) for name in labels])
 
 
 def mobile_fix(df: DataFrame) -> DataFrame:

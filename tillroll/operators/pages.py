@@ -89,6 +89,10 @@ def part_of(page: str, pages_per_part: int, first_page: int = 1):
     return F.floor((F.col(page) - first_page) / pages_per_part).cast("bigint")
 
 
+def _field(name: str):
+    return lambda struct: struct[name]
+
+
 def combine_pages(
     pages: DataFrame,
     doc: str,
@@ -110,7 +114,7 @@ def combine_pages(
         F.array_sort(F.collect_list(F.struct(*order, *bags))).alias("_pages")
     )
     merged = [
-        F.flatten(F.transform("_pages", lambda p, bag=bag: p[bag])).alias(bag) for bag in bags
+        F.flatten(F.transform("_pages", _field(bag))).alias(bag) for bag in bags
     ]
     return collected.select(doc, "part", *merged)
 

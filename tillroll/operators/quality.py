@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll import schemas
+from tillroll.functions.binding import settled
 from tillroll.functions.dates import receipt_date
 from tillroll.functions.paths import basename
 
@@ -17,44 +20,58 @@ def missing_counts(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def _corrupt(text: str, schema: str):
-    """NULL when ``text`` is JSON of that shape, else something not NULL."""
-    parsed = F.from_json(
+def _parsed(text: str, schema: str):
+    # Empty text gives no struct at all, broken text one with the corrupt field set.
+    return F.from_json(
         F.col(text),
         f"STRUCT<{schema}, {schemas.CORRUPT}: STRING>",
         {"columnNameOfCorruptRecord": schemas.CORRUPT},
     )
-    # Empty text gives no struct at all.
-    return F.when(parsed.isNull(), F.lit("")).otherwise(parsed[schemas.CORRUPT])
 
 
 def check_envelopes(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Adds ``envelope`` (map), ``lineitems``, ``kv_data``, ``error_type`` and ``error_message``.
+    """Parse envelopes once and say what is wrong with each.
 
-    A good row has a NULL ``error_type``. One bad document never touches the
+    Adds ``envelope`` (map), the two bag texts ``lineitems`` and ``kv_data``,
+    the parsed bags ``li`` and ``kv``, ``error_type`` and ``error_message``. A
+    good row has a NULL ``error_type``. One bad document never touches the
     others: rows are routed, nothing is raised and nothing is carried over.
     """
-    parsed = df.withColumn("envelope", F.from_json(F.col(raw), schemas.ENVELOPE_MAP)).withColumns(
+    opened = settled(df, {"envelope": F.from_json(F.col(raw), schemas.ENVELOPE_MAP)}).withColumns(
         {
             name: F.try_element_at(F.col("envelope"), F.lit(name))
             for name in ("lineitems", "kv_data")
         }
     )
+    parsed = settled(
+        opened,
+        {
+            "li": _parsed("lineitems", schemas.LINEITEM_BAG_VARIANT),
+            "kv": _parsed("kv_data", schemas.KV_BAG_VARIANT),
+        },
+    )
+
+    def malformed(bag):
+        return F.col(bag).isNull() | F.col(f"{bag}.{schemas.CORRUPT}").isNotNull()
+
+    def lacks(bag, *fields):
+        return functools.reduce(
+            lambda a, b: a | b, [F.col(f"{bag}.{field}").isNull() for field in fields]
+        )
+
     checks = [
         (F.col("envelope").isNull(), "MalformedJson", "envelope"),
         (F.col("lineitems").isNull(), "MissingField", "lineitems"),
         (F.col("kv_data").isNull(), "MissingField", "kv_data"),
-        (_corrupt("lineitems", schemas.LINEITEM_BAG).isNotNull(), "MalformedJson", "lineitems"),
-        (_corrupt("kv_data", schemas.KV_BAG).isNotNull(), "MalformedJson", "kv_data"),
+        (malformed("li"), "MalformedJson", "lineitems"),
+        (malformed("kv"), "MalformedJson", "kv_data"),
+        (lacks("li", "items", "price", "quantity"), "MissingField", "lineitems"),
+        (lacks("kv", "Type", "Key", "Value"), "MissingField", "kv_data"),
     ]
-    error = F.when(F.lit(False), F.struct(F.lit("").alias("type"), F.lit("").alias("message")))
-    for failed, kind, where in checks:
-        error = error.when(failed, F.struct(F.lit(kind).alias("type"), F.lit(where).alias("message")))
-    return (
-        parsed.withColumn("_error", error)
-        .withColumns({"error_type": F.col("_error.type"), "error_message": F.col("_error.message")})
-        .drop("_error")
-    )
+    kind = message = F.when(F.lit(False), "")
+    for failed, name, where in checks:
+        kind, message = kind.when(failed, name), message.when(failed, where)
+    return parsed.withColumns({"error_type": kind, "error_message": message})
 
 
 def quarantine(checked: DataFrame, path: str = "path", raw: str = "raw") -> DataFrame:

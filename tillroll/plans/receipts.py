@@ -46,11 +46,14 @@ def expense_documents(responses: DataFrame, keep: list[str], last_only: bool = F
 
     ``last_only`` keeps what survives when all documents of a file are written
     to the same object.
+
+    The outer form of explode, with the NULL rows filtered afterwards, keeps the
+    optimizer from testing the list, parsed from JSON, once more below.
     """
     documents = F.col("ExpenseDocuments")
     exploded = responses.select(
-        *keep, F.size(documents).alias("_n"), F.posexplode(documents).alias("doc_no", "_doc")
-    )
+        *keep, F.size(documents).alias("_n"), F.posexplode_outer(documents).alias("doc_no", "_doc")
+    ).filter(F.col("_doc").isNotNull())
     if last_only:
         exploded = exploded.filter(F.col("doc_no") == F.col("_n") - 1)
     return exploded.select(
@@ -113,21 +116,14 @@ def enrich_envelopes(envelopes: DataFrame, path: str = "path", raw: str = "raw")
     """
     receipts = envelopes.filter(is_receipt_key(F.col(path)))
     good = good_envelopes(check_envelopes(receipts, raw))
-    parsed = good.withColumns(
-        {
-            "_kv": F.from_json("kv_data", f"STRUCT<{schemas.KV_BAG_VARIANT}>"),
-            "_li": F.from_json("lineitems", f"STRUCT<{schemas.LINEITEM_BAG_VARIANT}>"),
-            "_total": total_amount(F.col("envelope")),
-            **path_ids(F.col(path)),
-        }
-    )
+    parsed = good.withColumns({"_total": total_amount(F.col("envelope")), **path_ids(F.col(path))})
     ids = {name: F.col(name) for name in ("tenant_id", "store_id", "session_id")}
     kv = F.struct(
-        canonical_date_type(append_names(F.col("_kv.Type"))).alias("Type"),
-        append_names(F.col("_kv.Key")).alias("Key"),
-        append_values(F.col("_kv.Value"), F.col("_li"), ids, F.col("_total")).alias("Value"),
-        F.col("_kv.KeyConfidence").alias("KeyConfidence"),
-        F.col("_kv.ValueConfidence").alias("ValueConfidence"),
+        canonical_date_type(append_names(F.col("kv.Type"))).alias("Type"),
+        append_names(F.col("kv.Key")).alias("Key"),
+        append_values(F.col("kv.Value"), F.col("li"), ids, F.col("_total")).alias("Value"),
+        F.col("kv.KeyConfidence").alias("KeyConfidence"),
+        F.col("kv.ValueConfidence").alias("ValueConfidence"),
     )
     return parsed.select(
         path,

@@ -28,6 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input that comes in fewer splits than cores.
+
+    The work per row (building and parsing JSON) far outweighs moving a few
+    numbers. Inputs of a cluster's size have more splits than cores and are
+    left where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scalar columns of each receipt."""
     lines = table(spark, sf_dir, "lineitem").select(
@@ -45,8 +56,8 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("ck"), "c_name", F.col("c_nationkey").cast("bigint").alias("nk")
     )
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("pk"), "p_name")
-    joined = lines.join(orders, "k").join(customers, "ck").join(parts, "pk")
-    session = F.concat_ws("-", F.concat(F.lit("S"), "k"), "ln", "pk", "sk")
+    joined = spread(lines).join(orders, "k").join(customers, "ck").join(parts, "pk")
+    session = F.concat_ws("-", F.concat(F.lit("S"), "k"), "ln", "pk", "sk", "cents")
     return joined.withColumns(
         {
             "session": session,
@@ -73,7 +84,7 @@ def date_text() -> Column:
 
 def receipt_path() -> Column:
     folder = F.when(F.col("k") % 17 == 0, "other").otherwise("textract")
-    name = F.concat_ws("-", "k", "ln", "pk", "sk")
+    name = F.concat_ws("-", "k", "ln", "pk", "sk", "cents")
     return F.concat(
         F.lit("in/"), "tenant", F.lit("/a/"), "store", F.lit("/b/"), "session", F.lit("/c/"),
         folder, F.lit("/"), name, F.lit(".json"),
@@ -191,12 +202,8 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     documents = F.when(F.col("k") % 11 == 0, F.array(first, second)).otherwise(F.array(first))
     base = receipts(spark, sf_dir).withColumn("_lines", per_item(line))
-    return base.select(
-        "session",
-        receipt_path().alias("path"),
-        "seconds",
-        F.to_json(F.struct(documents.alias("ExpenseDocuments"))).alias("response"),
-    )
+    response = F.to_json(F.struct(documents.alias("ExpenseDocuments")))
+    return base.select("session", receipt_path().alias("path"), "seconds", response.alias("response"))
 
 
 def parsed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -385,7 +392,8 @@ base AS (
          CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, CAST(l_quantity AS BIGINT) AS qty,
          c_custkey AS ck, c_name, CAST(c_nationkey AS BIGINT) AS nk, p_name,
          CAST(o_orderdate AS DATE) AS odate, o_orderdate,
-         'S' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS session,
+         'S' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey
+           || '-' || CAST(round(l_extendedprice * 100) AS BIGINT) AS session,
          'ST' || (l_orderkey % 50) AS store, 'T' || c_nationkey AS tenant,
          l_linenumber % 4 AS n_items,
          (l_orderkey % 100) || ' Road' || chr(10) || 'City ' || c_nationkey AS address,
@@ -406,7 +414,7 @@ base AS (
 ), paths AS (
   SELECT *, 'in/' || tenant || '/a/' || store || '/b/' || session || '/c/' ||
          CASE WHEN k % 17 = 0 THEN 'other' ELSE 'textract' END || '/' ||
-         k || '-' || ln || '-' || pk || '-' || sk || '.json' AS path
+         k || '-' || ln || '-' || pk || '-' || sk || '-' || cents || '.json' AS path
   FROM base
 ), items AS (
   SELECT *, CASE WHEN (pk + j) % 5 = 0 THEN replace(p_name, ' ', chr(10)) || ' ' || j

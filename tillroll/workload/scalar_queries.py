@@ -321,7 +321,7 @@ def total_amount_lookup(spark, sf_dir):
 
 @query(
     """SELECT vec_id, array_to_string(list_transform(embedding,
-         x -> CASE WHEN CAST(x AS DOUBLE) > list_avg(embedding) THEN '1' ELSE '0' END), '') AS page_hash
+         lambda x: CASE WHEN CAST(x AS DOUBLE) > list_avg(embedding) THEN '1' ELSE '0' END), '') AS page_hash
        FROM embeddings"""
 )
 def average_hash(spark, sf_dir):
