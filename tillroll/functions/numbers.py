@@ -63,10 +63,13 @@ def format_duration(seconds: Column) -> Column:
     rest = whole - days * 86400
     hours = F.floor(rest / 3600).cast("bigint")
     minutes = F.floor((rest - hours * 3600) / 60).cast("bigint")
-    prefix = F.when(days == 1, F.lit("1 day, ")).when(
-        days > 1, F.format_string("%d days, ", days)
+    def two_digits(value):
+        return F.lpad(value.cast("string"), 2, "0")
+
+    prefix = F.when(days == 1, "1 day, ").when(days > 1, F.concat(days, F.lit(" days, "))).otherwise("")
+    clock = F.concat_ws(
+        ":", hours, two_digits(minutes), two_digits(rest - hours * 3600 - minutes * 60)
     )
-    clock = F.format_string("%d:%02d:%02d", hours, minutes, rest - hours * 3600 - minutes * 60)
-    suffix = F.when(fraction > 0, F.format_string(".%06d", fraction))
-    text = F.concat(F.coalesce(prefix, F.lit("")), clock, F.coalesce(suffix, F.lit("")))
+    tail = F.concat(F.lit("."), F.lpad(fraction.cast("string"), 6, "0"))
+    text = F.concat(prefix, clock, F.when(fraction > 0, tail).otherwise(""))
     return F.when(seconds.isNotNull(), text)
