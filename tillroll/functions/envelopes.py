@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from tillroll import schemas
+from tillroll.functions.binding import let
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 _PRETTY = {"pretty": "true", **_KEEP_NULLS}
@@ -49,16 +50,17 @@ def to_envelope_json(record: Column, pretty: bool = True) -> Column:
 
 def canonical_date_type(types: Column) -> Column:
     """The first Type that contains DATE, in any case, becomes ``DATE``."""
-    hits = F.transform(types, lambda t: F.upper(t).contains("DATE"))
-    first = F.array_position(hits, F.lit(True))
-    return F.when(
-        first > 0,
-        F.concat(
-            F.slice(types, F.lit(1), (first - 1).cast("int")),
-            F.array(F.lit("DATE")),
-            F.slice(types, (first + 1).cast("int"), F.size(types)),
-        ),
-    ).otherwise(types)
+
+    def first_hit(given):
+        return F.array_position(
+            F.transform(given, lambda t: F.upper(t).contains("DATE")), F.lit(True)
+        )
+
+    def renamed(given, first):
+        return F.transform(given, lambda t, i: F.when(i + 1 == first, "DATE").otherwise(t))
+
+    # Both are bound: the list is built once, the position found once per row.
+    return let(types, lambda given: let(first_hit(given), lambda first: renamed(given, first)))
 
 
 def append_names(names: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll import schemas
 from tillroll.functions.binding import let, settled
@@ -87,6 +87,16 @@ def kv_wide(
     have at least one pair; documents without one keep a row here.
     """
     bag = F.from_json(F.col(column), f"STRUCT<{schemas.KV_BAG}>")
+    return kv_wide_from_bag(df, bag, keep, labels)
+
+
+def kv_wide_from_bag(
+    df: DataFrame,
+    bag: Column,
+    keep: Sequence[str] = (),
+    labels: Sequence[str] = tuple(schemas.RECEIPT_LABELS),
+) -> DataFrame:
+    """``kv_wide`` for a bag that is a struct of Type, Key and Value lists already."""
 
     def located(kv):
         names = receipt_labels(kv["Type"], kv["Key"])

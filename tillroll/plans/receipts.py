@@ -19,7 +19,7 @@ from tillroll.functions.numbers import array_total, format_duration, round_total
 from tillroll.functions.ocr import kv_bag, lineitem_bag
 from tillroll.functions.paths import is_receipt_key, path_ids
 from tillroll.functions.text import clean_address
-from tillroll.operators.kv import kv_wide
+from tillroll.operators.kv import kv_wide, kv_wide_from_bag
 from tillroll.operators.lineitems import lineitem_final, lineitem_raw
 from tillroll.operators.mapping import apply_mapping
 from tillroll.operators.pages import combine_pages, document_total, pages_before_duplicate
@@ -175,6 +175,36 @@ def receipt_tables(enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
     return keyvalue_from_wide(wide), lineitems_from_wide(wide)
 
 
+def wide_from_responses(responses: DataFrame, path: str = "path") -> DataFrame:
+    """Wide receipt rows straight from OCR responses, in one narrow stage.
+
+    Same rows as envelope, enrichment and ``receipt_wide`` one after the other,
+    without writing the bags as JSON and parsing them again in between. For
+    jobs that do not need the envelopes themselves.
+    """
+    receipts = responses.filter(is_receipt_key(F.col(path)))
+    documents = expense_documents(receipts, [path])
+    complete = documents.filter(F.col("fields").isNotNull() & F.col("groups").isNotNull())
+    bags = with_bags(complete)
+    ids = path_ids(F.col(path))
+    appended = F.array(
+        F.to_json("li.items"),
+        F.to_json("li.price"),
+        F.to_json("li.quantity"),
+        ids["tenant_id"],
+        ids["session_id"],
+        ids["store_id"],
+        round_total(F.col("total")).cast("string"),
+    )
+    bag = F.struct(
+        canonical_date_type(append_names(F.col("kv.Type"))).alias("Type"),
+        append_names(F.col("kv.Key")).alias("Key"),
+        F.concat("kv.Value", appended).alias("Value"),
+    )
+    wide = kv_wide_from_bag(bags, bag)
+    return wide.withColumn("ADDRESS", clean_address(F.col("ADDRESS")))
+
+
 # --- multi-page documents --------------------------------------------------------
 
 _KV_BAGS = ["Type", "Key", "Value", "KeyConfidence", "ValueConfidence"]

@@ -476,11 +476,22 @@ def responses_to_keyvalue(spark, sf_dir):
     return plans.keyvalue_final(plans.enrich_envelopes(_raw_envelopes(spark, sf_dir)))
 
 
-@query(
-    WITH
-    + """SELECT item_clean AS "ITEMS", CASE WHEN bad_price THEN 0.0 ELSE price END AS "PRICE",
+_CHAIN_ITEMS_SQL = """SELECT item_clean AS "ITEMS", CASE WHEN bad_price THEN 0.0 ELSE price END AS "PRICE",
          quantity AS "QUANTITY", session AS "SESSIONID" FROM items WHERE k % 17 <> 0"""
-)
+
+
+@query(WITH + _CHAIN_SQL)
+def responses_to_keyvalue_direct(spark, sf_dir):
+    """The same rows without envelope JSON between the stages."""
+    return plans.keyvalue_from_wide(plans.wide_from_responses(derive.parsed_responses(spark, sf_dir)))
+
+
+@query(WITH + _CHAIN_ITEMS_SQL)
+def responses_to_lineitem_direct(spark, sf_dir):
+    return plans.lineitems_from_wide(plans.wide_from_responses(derive.parsed_responses(spark, sf_dir)))
+
+
+@query(WITH + _CHAIN_ITEMS_SQL)
 def responses_to_lineitem(spark, sf_dir):
     return plans.lineitems(plans.enrich_envelopes(_raw_envelopes(spark, sf_dir)))
 
