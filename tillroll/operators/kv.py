@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll import schemas
-from tillroll.functions.binding import let, settled
+from tillroll.functions.binding import settled
 from tillroll.functions.text import receipt_labels
 
 
@@ -97,20 +97,17 @@ def kv_wide_from_bag(
     labels: Sequence[str] = tuple(schemas.RECEIPT_LABELS),
 ) -> DataFrame:
     """``kv_wide`` for a bag that is a struct of Type, Key and Value lists already."""
-
-    def located(kv):
-        names = receipt_labels(kv["Type"], kv["Key"])
-        # A pair without a value must not win over a later one that has a value.
-        live = F.zip_with(names, kv["Value"], lambda name, v: F.when(v.isNotNull(), name))
-        return F.struct(live.alias("labels"), kv["Value"].alias("values"))
-
-    parsed = settled(df, {"_kv": let(bag, located)})
+    opened = settled(df, {"_kv": bag})
+    names = receipt_labels(F.col("_kv.Type"), F.col("_kv.Key"))
+    # A pair without a value must not win over a later one that has a value.
+    live = F.zip_with(names, "_kv.Value", lambda name, v: F.when(v.isNotNull(), name))
+    located = opened.select(*keep, live.alias("_labels"), F.col("_kv.Value").alias("_values"))
 
     def pick(name):
-        at = F.array_position("_kv.labels", F.lit(name)).cast("int") - 1
-        return F.get("_kv.values", at).alias(name)
+        at = F.array_position("_labels", F.lit(name)).cast("int") - 1
+        return F.get("_values", at).alias(name)
 
-    return parsed.select(*keep, *[pick(name) for name in labels])
+    return located.select(*keep, *[pick(name) for name in labels])
 
 
 def mobile_fix(df: DataFrame) -> DataFrame:
