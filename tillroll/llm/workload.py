@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from tillroll.llm.block_neighbours import op8_block_neighbours
+from tillroll.llm.minimax_shards import op3_minimax_shards
 from tillroll.llm.secret_ledger import op10_secret_ledger
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op3_minimax_shards,
+        op8_block_neighbours,
         op10_secret_ledger,
     )
 }
