@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from tillroll.llm.block_neighbours import op8_block_neighbours
 from tillroll.llm.minimax_shards import op3_minimax_shards
+from tillroll.llm.packing import op6_window_packing
 from tillroll.llm.secret_ledger import op10_secret_ledger
+from tillroll.llm.toxic_grammar import op2_toxic_grammar
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_toxic_grammar,
         op3_minimax_shards,
+        op6_window_packing,
         op8_block_neighbours,
         op10_secret_ledger,
     )
