@@ -90,3 +90,81 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+# --- words -----------------------------------------------------------------------------
+
+
+def separators(kept) -> np.ndarray:
+    """Table of the bytes that no word contains: those for which ``kept`` is false."""
+    return np.array([not kept(b) for b in range(256)])
+
+
+class WordHashes:
+    """Hashes of the words of UTF-8 rows, and of runs of consecutive words."""
+
+    PIECE = 1 << 20
+    _POWERS = 1 << 16
+
+    def __init__(self, separator: np.ndarray, fold: np.ndarray | None = None, seed: int = 7):
+        random = np.random.default_rng(seed)
+        letters = random.integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+        self.separator = separator
+        self.letters = letters if fold is None else letters[fold]
+        self.powers = RollingHash._powers(int(random.integers(1 << 62)) | 1, self._POWERS)
+        self.gram = [int(x) | 1 for x in random.integers(0, 1 << 62, 64)]
+
+    def _hash(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Word hashes of all rows, and the number of words before each row."""
+        word = ~self.separator[data]
+        first = word.copy()
+        first[1:] &= ~word[:-1]
+        begins = at[:-1][at[:-1] < at[1:]]
+        first[begins] = word[begins]
+        starts = np.nonzero(first)[0]
+        if not len(starts):
+            return np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
+        inside = np.nonzero(word)[0]
+        head = first[inside]
+        nth = np.cumsum(head) - 1
+        value = self.letters[data[inside]] * self.powers[(inside - starts[nth]) & (self._POWERS - 1)]
+        return mixed(np.add.reduceat(value, np.nonzero(head)[0])), np.searchsorted(starts, at)
+
+    def rows(self, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For runs of rows: the first row, all their word hashes, and where each row's begin and end.
+
+        A row longer than ``PIECE`` bytes is hashed in pieces cut at separators.
+        """
+        i, rows = 0, len(at) - 1
+        while i < rows:
+            j = max(int(np.searchsorted(at, at[i] + self.PIECE, "right")) - 1, i + 1)
+            part = data[at[i] : at[j]]
+            if len(part) <= self.PIECE:
+                hashes, offsets = self._hash(part, at[i : j + 1] - at[i])
+            else:
+                pieces, start = [], 0
+                while start < len(part):
+                    end = start + self.PIECE
+                    while end < len(part):
+                        gap = np.nonzero(self.separator[part[end : end + self.PIECE]])[0]
+                        if len(gap):
+                            end += int(gap[0])
+                            break
+                        end += self.PIECE
+                    end = min(end, len(part))
+                    pieces.append(self._hash(part[start:end], np.array([0, end - start]))[0])
+                    start = end
+                hashes = np.concatenate(pieces)
+                offsets = np.array([0, len(hashes)])
+            yield i, hashes, offsets
+            i = j
+
+    def grams(self, words: np.ndarray, k: int) -> np.ndarray:
+        """Hash of the k words from each word on; none where fewer are left."""
+        n = len(words) - k + 1
+        if n <= 0:
+            return np.zeros(0, np.uint64)
+        total = words[:n] * np.uint64(self.gram[0])
+        for j in range(1, k):
+            total = total + words[j : n + j] * np.uint64(self.gram[j % 64])
+        return mixed(total + np.uint64(k))
