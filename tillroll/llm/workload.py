@@ -7,6 +7,7 @@ from tillroll.llm.minimax_shards import op3_minimax_shards
 from tillroll.llm.packing import op6_window_packing
 from tillroll.llm.page_crf import op7_page_crf
 from tillroll.llm.secret_ledger import op10_secret_ledger
+from tillroll.llm.shingle_join import op5_shingle_join
 from tillroll.llm.string_tiling import op9_string_tiling
 from tillroll.llm.toxic_grammar import op2_toxic_grammar
 
@@ -15,6 +16,7 @@ QUERIES = {
     for f in (
         op2_toxic_grammar,
         op3_minimax_shards,
+        op5_shingle_join,
         op6_window_packing,
         op7_page_crf,
         op8_block_neighbours,
