@@ -9,11 +9,13 @@ from tillroll.llm.page_crf import op7_page_crf
 from tillroll.llm.secret_ledger import op10_secret_ledger
 from tillroll.llm.shingle_join import op5_shingle_join
 from tillroll.llm.string_tiling import op9_string_tiling
+from tillroll.llm.suffix_dedup import op1_suffix_dedup
 from tillroll.llm.toxic_grammar import op2_toxic_grammar
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_suffix_dedup,
         op2_toxic_grammar,
         op3_minimax_shards,
         op5_shingle_join,
