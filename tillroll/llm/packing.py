@@ -25,13 +25,13 @@ extra columns are ignored; texts are tokenised whole.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tillroll.llm.common import materialize, table, whole_text
@@ -40,6 +40,7 @@ WINDOW = 2048
 END_ID = 1
 SALTS = 64
 MAX_COMBINATIONS = 4096
+_WORD_BORDER = re.compile(r"(?<=[^\W\d_]) (?=[^\W\d_])")
 _FREQUENT = 64  # lengths whose triples are enumerated
 
 
@@ -47,46 +48,43 @@ _FREQUENT = 64  # lengths whose triples are enumerated
 
 
 class Tokens:
-    """Ids of whole texts: those of the tokenizer file, with a memory of words.
+    """Ids of whole texts by a byte-level tokenizer file.
 
-    The file's byte-level merges never cross the words its pattern cuts, so a
-    word's ids do not depend on where it stands. A text that contains a special
-    token's string goes to the tokenizer as a whole.
+    The merges of the file are run by a second library, which is several times
+    as fast and gives the same ids: a byte-level vocabulary lists its merges in
+    the order of their ids. A text that contains a special token's string goes
+    to the file's own tokenizer.
     """
 
-    PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+    PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
     PIECE = 1 << 20
-    MEMORY = 300_000
 
     def __init__(self, file: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _known(self, words: list[str]) -> list[bytes]:
-        memory = self.words
-        if len(memory) > self.MEMORY:
-            memory.clear()
-        out = []
-        for w in words:
-            ids = memory.get(w)
-            if ids is None:
-                ids = memory[w] = self._ids(w)
-            out.append(ids)
-        return out
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = [t.content for t in added.values()]
+        letters = self._byte_letters()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items() if i not in added}
+        self.merges = tiktoken.Encoding("file", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    @staticmethod
+    def _byte_letters() -> dict[str, int]:
+        """Vocabularies write a byte as its Latin-1 letter, or, if that is not printable, from U+0100 on."""
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        return {chr(b): b for b in printable} | {chr(256 + n): b for n, b in enumerate(others)}
 
     def pieces(self, text: str) -> Iterator[str]:
         """The text, cut between words where it is very long."""
         start = 0
         while len(text) - start > self.PIECE:
             # A space between two letters always starts a word.
-            cut = regex.search(r"(?<=\p{L}) (?=\p{L})", text, pos=start + self.PIECE)
+            cut = _WORD_BORDER.search(text, start + self.PIECE)
             if not cut:
                 break
             yield text[start : cut.start()]
@@ -96,10 +94,10 @@ class Tokens:
     def encode(self, text: str) -> np.ndarray:
         """The ids and the end id."""
         if any(s in text for s in self.special):
-            ids = self._ids(text)
+            parts = [self.tokenizer.encode(text, add_special_tokens=False).ids]
         else:
-            ids = b"".join(x for p in self.pieces(text) for x in self._known(self.PATTERN.findall(p)))
-        return np.frombuffer(ids + END_ID.to_bytes(4, "little"), "<u4")
+            parts = [self.merges.encode_ordinary(p) for p in self.pieces(text)]
+        return np.concatenate([*(np.array(p, "<u4") for p in parts), np.array([END_ID], "<u4")])
 
 
 def tokenizer_file() -> str:
@@ -315,7 +313,7 @@ def pack(
     sums = texts.join(asked, "text_id").mapInArrow(
         _recut(tokenizer), "text_id STRING, start BIGINT, fits INT, crc1 BIGINT, crc2 BIGINT"
     )
-    both = split.join(sums, ["text_id", "start", "fits"])
+    both = materialize(split.join(sums, ["text_id", "start", "fits"]), "pack-split")
     head = both.select("key", "start", F.col("fits").alias("length"), F.col("crc1").alias("ids_crc32"), *out[4:])
     tail = both.select(
         "key",
