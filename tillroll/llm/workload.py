@@ -10,6 +10,7 @@ from tillroll.llm.secret_ledger import op10_secret_ledger
 from tillroll.llm.shingle_join import op5_shingle_join
 from tillroll.llm.string_tiling import op9_string_tiling
 from tillroll.llm.suffix_dedup import op1_suffix_dedup
+from tillroll.llm.surrogates import op4_surrogates
 from tillroll.llm.toxic_grammar import op2_toxic_grammar
 
 QUERIES = {
@@ -18,6 +19,7 @@ QUERIES = {
         op1_suffix_dedup,
         op2_toxic_grammar,
         op3_minimax_shards,
+        op4_surrogates,
         op5_shingle_join,
         op6_window_packing,
         op7_page_crf,
