@@ -110,10 +110,11 @@ def _describe(k: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
+                    batch.column("text_id"),
                     pa.array(np.concatenate([np.zeros(0, np.int64), *sizes])),
                     _ids(np.concatenate([np.zeros((0, 2), np.uint64), *ids])),
                 ],
-                names=["key", "n", "set_id"],
+                names=["key", "text_id", "n", "set_id"],
             )
 
     return run
@@ -469,10 +470,11 @@ def verified_links(near: DataFrame, groups: DataFrame, percent: int) -> DataFram
 def similar_classes(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> tuple[DataFrame, DataFrame]:
-    """(key, n, set_id) of every row; (set_id, root) of every set that is linked with another."""
-    rows = docs.select(F.col(key).alias("key"), whole_text(text).alias("text"))
+    """(key, text_id, n, set_id) of every row; (set_id, root) of every set that is linked with another."""
+    whole = whole_text(text)
+    rows = docs.select(F.col(key).alias("key"), F.sha2(whole, 256).alias("text_id"), whole.alias("text"))
     kind = docs.schema[key].dataType.simpleString()
-    described = materialize(rows.mapInArrow(_describe(words), f"key {kind}, n BIGINT, set_id BINARY"), "described")
+    described = materialize(rows.mapInArrow(_describe(words), f"key {kind}, text_id STRING, n BIGINT, set_id BINARY"), "described")
     total = described.agg(F.sum("n").alias("n")).first().n or 0
     buckets = max(1, -(-total // BUCKET_TOKENS))
 
@@ -500,17 +502,22 @@ def similar_documents(
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group of similar ones, all columns as they are: the one with the smallest key.
 
-    Rows without a word are kept.
+    Of rows that repeat it one stays. Rows without a word are all kept.
     """
     described, classes = similar_classes(docs, key, text)
     named = described.filter("n > 0").join(classes, "set_id", "left")
-    chosen = named.groupBy(F.coalesce("root", "set_id").alias("root")).agg(F.min("key").alias("_key"))
-    empty = described.filter("n = 0").select(F.col("key").alias("_key")).distinct()
-    kept = materialize(chosen.select("_key").unionAll(empty), "kept-keys")
-    nth = Window.partitionBy(key).orderBy(F.xxhash64(whole_text(text)))
-    once = docs.join(kept, docs[key].eqNullSafe(kept["_key"]), "left_semi")
-    # Rows that repeat a key are one document, unless they have no words.
-    return once.withColumn("_nth", F.row_number().over(nth)).filter("_nth = 1").drop("_nth")
+    # A null key only where a group has no other.
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "text_id"))
+    chosen = named.groupBy(F.coalesce("root", "set_id").alias("root")).agg(first.alias("c"))
+    salt = F.pmod(F.xxhash64("_key"), F.lit(64)).alias("_salt")
+    kept = materialize(chosen.select(F.col("c.key").alias("_key"), F.col("c.text_id").alias("_text_id")).select("*", salt), "kept")
+    wordless = ~F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # The salt spreads a text that very many rows share; the key decides.
+    marked = docs.filter(~wordless).withColumns({"_text_id": F.sha2(whole_text(text), 256), "_key": F.col(key)}).select("*", salt)
+    same = (marked["_text_id"] == kept["_text_id"]) & (marked["_salt"] == kept["_salt"]) & marked["_key"].eqNullSafe(kept["_key"])
+    nth = F.row_number().over(Window.partitionBy("_text_id", "_salt", "_key").orderBy(F.lit(0)))
+    once = marked.join(kept, same, "left_semi").withColumn("_nth", nth).filter("_nth = 1")
+    return once.select(docs.columns).unionAll(docs.filter(wordless))
 
 
 def op5_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -308,6 +308,10 @@ class ToxicityModel:
         rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
         return rows.mapInArrow(_scorer(self.weights, self.coefficients), schema).withColumnRenamed("key", key)
 
+    def keep_clean(self, docs: DataFrame, text: str = "text", most: float = 0.5) -> DataFrame:
+        """The rows that score less than ``most``, all columns as they are."""
+        return docs.mapInArrow(_keeper(self.weights, self.coefficients, text, most), docs.schema)
+
     def text_score(self, text: str | None) -> float:
         return _logistic(_reader(self.weights)(text or ""), self.coefficients)
 
@@ -348,6 +352,15 @@ def _scorer(weights: dict[str, float], beta: list[float]):
     return run
 
 
+def _keeper(weights: dict[str, float], beta: list[float], text: str, most: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = _reader(weights)
+        for batch in batches:
+            yield batch.filter(pa.array([_logistic(read(t.as_py() or ""), beta) < most for t in batch.column(text)], pa.bool_()))
+
+    return run
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
