@@ -17,7 +17,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="tillroll-tests-"))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tillroll-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")

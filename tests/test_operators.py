@@ -1,11 +1,14 @@
 """Row-changing operators on small tables, some against brute force."""
 
 import collections
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from tillroll import schemas
+from tillroll.functions.ocr import average_hash
 from tillroll.operators import keys, kv, lineitems, mapping, pages, quality
 from tillroll.plans import receipts as plans
 
@@ -67,14 +70,27 @@ def test_wide_equals_pivot_of_long(spark):
     long = kv.kv_long(kv.parse_kv(df), ["id"])
     pivoted = {r.id: r for r in kv.kv_pivot(long, ["id"], labels).collect()}
     for row in kv.kv_wide(df, ["id"], labels).collect():
-        # A document without any value has no pivot row.
-        expected = tuple(pivoted[row.id]) if row.id in pivoted else (row.id,) + (None,) * 5
-        assert tuple(row) == expected
-    dynamic = {r.id: r.asDict() for r in kv.kv_pivot_dynamic(long, ["id"]).collect()}
+        assert tuple(row) == tuple(pivoted[row.id])
+    dynamic = {r.id: r.labels for r in kv.kv_pivot_dynamic(long, ["id"]).collect()}
+    assert set(dynamic) == set(pivoted)
     for i, row in pivoted.items():
         assert all(dynamic[i].get(name) == row[name] for name in labels)
 
 
+def test_document_of_null_values_keeps_its_row(spark):
+    df = spark.createDataFrame([(1, '{"Type":["A"],"Key":[""],"Value":[null]}')], KV)
+    long = kv.kv_long(kv.parse_kv(df), ["id"])
+    assert [tuple(r) for r in kv.kv_pivot(long, ["id"], ["A"]).collect()] == [(1, None)]
+    assert [tuple(r) for r in kv.kv_pivot_dynamic(long, ["id"]).collect()] == [(1, {})]
+
+
+def test_any_number_of_labels(spark):
+    long = spark.range(10_001).select(
+        F.lit(1).alias("id"), F.concat(F.lit("L"), "id").alias("label"), F.col("id").alias("pos"), F.lit("v").alias("value")
+    )
+    assert len(kv.kv_pivot_dynamic(long, ["id"]).first().labels) == 10_001
+
+
 def test_first_value_wins_but_null_does_not(spark):
     df = spark.createDataFrame([(1, '{"Type":["A","A","A"],"Key":["","",""],"Value":[null,"x","y"]}')], KV)
     assert kv.kv_wide(df, labels=["A"]).first().A == "x"
@@ -148,33 +164,124 @@ def test_cut_examples(spark):
     assert sorted((r.doc, r.page) for r in distinct.collect()) == [(1, 1), (1, 2), (1, 4), (2, 1)]
 
 
-def test_combine_orders_pages_and_splits_long_documents(spark):
-    rows = [(1, 2, ["c"]), (1, 1, ["a", "b"])] + [(2, p, [str(p)]) for p in range(1, 2502)]
+def test_page_without_a_hash_repeats_nothing(spark):
+    rows = [(1, 1, None), (1, 2, None), (1, 3, "a"), (1, 4, "a")]
+    df = spark.createDataFrame(rows, "doc int, page int, hash string")
+    cut = pages.pages_before_duplicate(df, "doc", "page", "hash").collect()
+    assert sorted(r.page for r in cut) == [1, 2, 3]
+    distinct = pages.pages_before_duplicate(df, "doc", "page", "hash", drop_only_duplicates=True)
+    assert sorted(r.page for r in distinct.collect()) == [1, 2, 3]
+    assert pages.unhashed_pages(df, "hash").count() == 2
+
+
+def test_combine_has_one_shape_at_any_length(spark):
+    rows = [(1, 2, ["c"]), (1, 1500, ["a", "b"]), (3, 1, None), (3, 2, [])] + [(2, p, [str(p)]) for p in range(1, 2502)]
     df = spark.createDataFrame(rows, "doc int, page int, v array<string>")
-    merged = pages.combine_pages(df, "doc", ["page"], ["v"]).orderBy("doc", "part").collect()
-    assert [(r.doc, r.part, len(r.v)) for r in merged] == [(1, 0, 3), (2, 0, 1000), (2, 1, 1000), (2, 2, 501)]
-    assert merged[0].v == ["a", "b", "c"]
-    assert [x for r in merged[1:] for x in r.v] == [str(p) for p in range(1, 2502)]
+    merged = pages.combine_pages(df, "doc", ["page"], ["v"]).orderBy("doc", "page", "pos").collect()
+    assert [tuple(r) for r in merged[:3]] == [(1, 2, 0, "c"), (1, 1500, 0, "a"), (1, 1500, 1, "b")]
+    assert [r.v for r in merged[3:]] == [str(p) for p in range(1, 2502)]
 
 
 def test_document_total_is_exact(spark):
-    df = spark.createDataFrame([(1, 0.1)] * 10 + [(2, None)], "doc int, total double")
-    totals = {r.doc: r.total_amount for r in pages.document_total(df, "doc", "total").collect()}
-    assert totals == {1: 1.0, 2: None}
-
-
-def test_multipage_total_covers_all_parts(spark, monkeypatch):
-    def page(doc, n):
-        item = (
-            '{"LineItemExpenseFields":[{"Type":{"Text":"PRICE"},"ValueDetection":{"Text":"1.00"}}]}'
-        )
-        return (doc, n, f"{doc}-{n}",
-                '{"ExpenseDocuments":[{"SummaryFields":[],"LineItemGroups":[{"LineItems":[%s]}]}]}' % item)
-
-    monkeypatch.setattr(pages.combine_pages, "__defaults__", (2,))
-    df = spark.createDataFrame([page(1, n) for n in range(1, 6)], "doc int, page int, hash string, r string")
-    made = plans.multipage_document(df, "doc", "page", "hash", "r").collect()
-    assert sorted((r.part, r.TotalAmount) for r in made) == [(0, 5.0), (1, 5.0), (2, 5.0)]
+    rows = [(1, 0.1)] * 10 + [(2, None), (3, 1e23), (3, 1.0), (4, 5.0), (4, None)]
+    df = spark.createDataFrame(rows, "doc int, total double")
+    got = {r.doc: (r.total_amount, r.pages_without_total) for r in pages.document_total(df, "doc", "total").collect()}
+    assert got == {1: (1.0, 0), 2: (None, 1), 3: (1e23, 0), 4: (5.0, 1)}
+
+
+def _page(doc, n, response=None):
+    item = '{"LineItemExpenseFields":[{"Type":{"Text":"PRICE"},"ValueDetection":{"Text":"1.00"}}]}'
+    field = '{"Type":{"Text":"T%d"},"ValueDetection":{"Text":"v"}}' % n
+    whole = '{"ExpenseDocuments":[{"SummaryFields":[%s],"LineItemGroups":[{"LineItems":[%s]}]}]}' % (field, item)
+    return (doc, n, f"{doc}-{n}", response or whole)
+
+
+def test_a_bad_page_takes_nothing_from_the_good_ones(spark):
+    no_fields = '{"ExpenseDocuments":[{"LineItemGroups":[]}]}'
+    no_groups = '{"ExpenseDocuments":[{"SummaryFields":[]}]}'
+    rows = [_page(1, n) for n in range(1, 1502)]
+    rows += [_page(2, 1), _page(2, 2, "{oops"), _page(2, 3, no_fields), _page(2, 4, no_groups), _page(2, 5, "{}"), _page(2, 6)]
+    df = spark.createDataFrame(rows, "doc int, page int, hash string, r string")
+    fields, items, totals, rejects = plans.multipage_document(df, "doc", "page", "hash", "r")
+    assert {r.doc: (r.total_amount, r.rejected) for r in totals.collect()} == {1: (1501.0, 0), 2: (2.0, 4)}
+    assert [(r.page, r.Type) for r in fields.filter("doc = 2").orderBy("page").collect()] == [(1, "T1"), (6, "T6")]
+    assert items.filter("doc = 2").count() == 2
+    got = {r.page: (r.error_type, r.error_message) for r in rejects.collect()}
+    assert got == {
+        2: ("MalformedJson", "response"),
+        3: ("MissingField", "SummaryFields"),
+        4: ("MissingField", "LineItemGroups"),
+        5: ("MissingField", "ExpenseDocuments"),
+    }
+
+
+def test_pixels_to_totals(spark):
+    pixels = [[10.0, 200.0], [200.0, 10.0], [10.0, 200.0], [], []]
+    rows = [(1, n + 1, px, _page(1, n)[3]) for n, px in enumerate(pixels)]
+    df = spark.createDataFrame(rows, "doc int, page int, px array<double>, r string")
+    hashed = df.withColumn("hash", average_hash(F.col("px")))
+    assert hashed.filter("page = 4").first().hash == ""
+    totals = plans.multipage_document(hashed, "doc", "page", "hash", "r")[2].first()
+    assert (totals.total_amount, totals.rejected) == (2.0, 0)  # the third page repeats the first
+
+
+# --- rows in, rows out -----------------------------------------------------------------
+
+
+def test_every_row_is_accepted_or_rejected(spark):
+    good = _page(1, 1)[3]
+    responses = spark.createDataFrame([(i, r) for i, r in enumerate([good, "{oops", "{}", "", None, "[]", good])], "id int, raw string")
+    checked = quality.check_responses(responses)
+    assert checked.count() == 7 and quality.accepted(checked).count() == 2
+    bad = quality.rejected(checked, "response", ["id"], "raw")
+    assert bad.columns == ["id", "stage", "error_type", "error_message", "raw"] and bad.count() == 5
+    two = '{"Records":[{"s3":{"bucket":{"name":"b"},"object":{"key":"a+b%2Fc"}}},{"s3":{}}]}'
+    events = spark.createDataFrame([(1, two), (2, "{oops"), (3, '{"Records":[]}'), (4, None)], "id int, event string")
+    notes = quality.check_notifications(events)
+    assert [tuple(r) for r in quality.accepted(notes).select("id", "bucket", "key").collect()] == [(1, "b", "a b/c")]
+    assert sorted(r.id for r in quality.rejected(notes, "notification", ["id"], "event").collect()) == [1, 2, 3, 4]
+    bags = spark.createDataFrame([(1, '{"Type":[],"Key":[],"Value":[]}'), (2, "{oops"), (3, None), (4, "{}")], "id int, kv_data string")
+    named = quality.check_bags(bags)
+    assert sorted(r.id for r in quality.rejected(named, "bag", ["id"], "kv_data").collect()) == [2, 3, 4]
+    assert plans.keyvalue_final(bags).count() == 1
+
+
+def _envelope(**more):
+    bag = json.dumps({"Type": [], "Key": [], "Value": []})
+    return {"lineitems": json.dumps({"items": [], "price": [], "quantity": []}), "kv_data": bag, **more}
+
+
+def test_envelope_text_rules(spark):
+    whole = json.dumps(_envelope(Total_Amount=2, shop="x"))
+    twice = whole[:-1] + ', "Total_Amount": 3}'
+    path = "in/T/a/S/b/X/c/textract/%s.json"
+    rows = [(path % "a", whole), (path % "b", whole + " tail"), (path % "c", whole + whole), (path % "d", twice), (path % "e", f"{whole},{whole}")]
+    df = spark.createDataFrame(rows, "path string, raw string")
+    made = {r.path[-6]: r for r in plans.enrich_envelopes(df).collect()}
+    assert {k: (r.Total_Amount, r.extra) for k, r in made.items()} == {"a": (2.0, {"shop": "x"}), "d": (3.0, {"shop": "x"})}
+    assert quality.quarantine(quality.check_envelopes(df)).count() == 3
+
+
+def test_last_writer_wins_inside_enrichment(spark):
+    raw = json.dumps(_envelope())
+    rows = [(f"in/T/a/S/b/{s}/c/textract/{n}.json", raw) for s, n in (("X1", "a"), ("X2", "a"), ("X1", "b"))]
+    df = spark.createDataFrame(rows, "path string, raw string")
+    assert plans.enrich_envelopes(df).count() == 3
+    kept = plans.enrich_envelopes(df, last_writer=True).collect()
+    assert sorted(r.path for r in kept) == ["in/T/a/S/b/X1/c/textract/b.json", "in/T/a/S/b/X2/c/textract/a.json"]
+
+
+def test_no_number_kills_a_job(spark):
+    def line(price):
+        return '{"LineItemExpenseFields":[{"Type":{"Text":"PRICE"},"ValueDetection":{"Text":"%s"}}]}' % price
+
+    text = '{"ExpenseDocuments":[{"SummaryFields":[],"LineItemGroups":[{"LineItems":[%s]}]}]}'
+    rows = [(p, text % line(p), 1e25) for p in ("1e30", "1e308", "NaN", "2.5")]
+    df = spark.createDataFrame(rows, "id string, raw string, seconds double")
+    parsed = df.withColumn("ExpenseDocuments", F.from_json("raw", f"STRUCT<{schemas.EXPENSE_RESPONSE}>")["ExpenseDocuments"])
+    made = {r.id: r for r in plans.ocr_to_envelope(parsed, ["id"], "seconds").collect()}
+    assert {k: r.Total_Amount for k, r in made.items()} == {"1e30": 1e30, "1e308": 1e308, "NaN": 0.0, "2.5": 2.5}
+    assert all(r.time_taken is None for r in made.values())
 
 
 # --- keys, quality --------------------------------------------------------------------

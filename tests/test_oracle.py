@@ -5,6 +5,8 @@ import os
 
 import pytest
 
+from tillroll.workload.registry import ORACLE, QUERIES
+
 from tests.oracle import connect, difference, duck_result, spark_result
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -19,7 +21,10 @@ def _entry():
 
 
 ENTRY = _entry()
-QUERIES, ORACLE = ENTRY.queries(), ENTRY.oracle_sql()
+
+
+def test_entry_names_every_query_of_the_workload():
+    assert set(QUERIES) <= set(ENTRY.queries()) and set(ORACLE) <= set(ENTRY.oracle_sql())
 
 
 @pytest.fixture(scope="module")

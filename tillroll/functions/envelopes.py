@@ -81,12 +81,25 @@ def append_values(values: Column, items: Column, ids: dict[str, Column], total:
     return F.concat(values, F.array(*extra))
 
 
+def read_envelope(raw: Column) -> Column:
+    """A JSON object as a map; NULL for anything else, text after the object included.
+
+    Read as a list of one object: what follows the object then breaks the list,
+    or makes it longer.
+    """
+    objects = F.from_json(F.concat(F.lit("["), raw, F.lit("]")), f"ARRAY<{schemas.ENVELOPE_MAP}>")
+    return let(objects, lambda o: F.when(F.size(o) == 1, F.get(o, F.lit(0))))
+
+
+def entry(envelope_map: Column, name: str) -> Column:
+    """The value of a key; of a repeated key the last one."""
+    hits = F.filter(F.map_entries(envelope_map), lambda e: e["key"] == name)
+    return F.try_element_at(hits, F.lit(-1))["value"]
+
+
 def total_amount(envelope_map: Column) -> Column:
     """Readers look for ``total_amount``, writers say ``Total_Amount``: take either."""
-    found = F.coalesce(
-        F.try_element_at(envelope_map, F.lit("total_amount")),
-        F.try_element_at(envelope_map, F.lit("Total_Amount")),
-    )
+    found = F.coalesce(entry(envelope_map, "total_amount"), entry(envelope_map, "Total_Amount"))
     return found.try_cast("double")
 
 

@@ -50,13 +50,14 @@ def array_total(prices: Column) -> Column:
 
 
 def round_total(total: Column) -> Column:
-    """Two decimals, half up on the decimal value."""
-    return F.round(total.cast("decimal(38,10)"), 2).cast("double")
+    """Two decimals, half up on the decimal value; what no decimal holds has no decimals to round."""
+    return F.coalesce(F.round(total.try_cast("decimal(38,10)"), 2).cast("double"), total)
 
 
 def format_duration(seconds: Column) -> Column:
     """``H:MM:SS[.ffffff]`` with an ``N day(s), `` prefix from one day on."""
-    micros = F.bround(seconds.cast("decimal(38,10)") * 1000000, 0).cast("bigint")
+    # Seconds beyond 64 bits of microseconds have no text.
+    micros = F.bround(seconds.try_cast("decimal(30,8)") * 1000000, 0).try_cast("bigint")
     whole = F.floor(micros / 1000000).cast("bigint")
     fraction = micros - whole * 1000000
     days = F.floor(whole / 86400).cast("bigint")
@@ -72,4 +73,4 @@ def format_duration(seconds: Column) -> Column:
     )
     tail = F.concat(F.lit("."), F.lpad(fraction.cast("string"), 6, "0"))
     text = F.concat(prefix, clock, F.when(fraction > 0, tail).otherwise(""))
-    return F.when(seconds.isNotNull(), text)
+    return F.when(micros.isNotNull(), text)

@@ -80,10 +80,10 @@ def lineitem_bag(groups: Column) -> Column:
 
 
 def average_hash(pixels: Column) -> Column:
-    """One bit per grey value, set where it lies above the mean."""
+    """One bit per grey value, set where it lies above the mean; no bits for no pixels."""
 
     def bits(px):
-        mean = F.aggregate(px, F.lit(0.0), lambda s, v: s + v, lambda s: s / F.size(px))
+        mean = F.aggregate(px, F.lit(0.0), lambda s, v: s + v, lambda s: F.try_divide(s, F.size(px)))
         return let(
             mean,
             lambda m: F.array_join(

@@ -19,6 +19,12 @@ def decode_key(key: Column) -> Column:
     return F.url_decode(F.regexp_replace(key, "%(?![0-9a-fA-F]{2})", "%25"))
 
 
+def decode_uri(uri: Column) -> Column:
+    """The path a file URI stands for: escapes decoded, ``+`` kept, a stray ``%`` kept."""
+    kept = F.regexp_replace(F.replace(uri, F.lit("+"), F.lit("%2B")), "%(?![0-9a-fA-F]{2})", "%25")
+    return F.coalesce(F.try_url_decode(kept), uri)
+
+
 def basename(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 

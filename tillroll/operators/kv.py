@@ -38,30 +38,30 @@ def kv_long(df: DataFrame, keys: Sequence[str], kv: str = "kv") -> DataFrame:
 def kv_pivot(long: DataFrame, keys: Sequence[str], labels: Sequence[str]) -> DataFrame:
     """Long pairs to one row per document and one column per label.
 
-    The lowest position with a value wins. Every output is a mergeable
-    aggregate, so map tasks reduce a hot document to one row before the shuffle.
+    The lowest position with a value wins; a document whose values are all NULL
+    keeps its row. Every output is a mergeable aggregate, so map tasks reduce a
+    hot document to one row before the shuffle.
     """
-    wanted = long.filter(F.col("value").isNotNull())
-    picks = [
-        F.min_by("value", F.when(F.col("label") == name, F.col("pos"))).alias(name)
-        for name in labels
-    ]
-    return wanted.groupBy(*keys).agg(*picks)
+
+    def pick(name):
+        live = (F.col("label") == name) & F.col("value").isNotNull()
+        return F.min_by("value", F.when(live, F.col("pos"))).alias(name)
+
+    return long.groupBy(*keys).agg(*[pick(name) for name in labels])
 
 
 def kv_pivot_dynamic(long: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """As ``kv_pivot`` with the labels found in the data.
+    """As ``kv_pivot`` with the labels found in the data, as one map ``labels`` per document.
 
-    Costs one extra job for the distinct labels and fails past
-    ``spark.sql.pivotMaxValues`` of them. First the pairs are reduced to one
-    per document and label, so the pivot itself moves only those.
+    OCR labels are an open set, so they are keys of a map and not columns: any
+    number of them, one shape, no job to find them. The pairs are first reduced
+    to one per document and label.
     """
-    first = (
-        long.filter(F.col("value").isNotNull())
-        .groupBy(*keys, "label")
-        .agg(F.min_by("value", "pos").alias("value"))
-    )
-    return first.groupBy(*keys).pivot("label").agg(F.first("value", ignorenulls=True))
+    live = F.when(F.col("value").isNotNull(), F.col("pos"))
+    first = long.groupBy(*keys, "label").agg(F.min_by("value", live).alias("value"))
+    entry = F.when(F.col("value").isNotNull(), F.struct("label", "value"))
+    # collect_list leaves out NULLs; what it holds is one document's labels.
+    return first.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("labels"))
 
 
 def kv_join(wide: DataFrame, documents: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -78,16 +78,21 @@ def kv_wide(
     keep: Sequence[str] = (),
     labels: Sequence[str] = tuple(schemas.RECEIPT_LABELS),
     column: str = "kv_data",
+    readable_only: bool = False,
 ) -> DataFrame:
     """Row-local pivot: one output row per document, no shuffle at all.
 
+    A bag that is no JSON or lacks a list gives a row of NULLs, or none with
+    ``readable_only``.
+
     All pairs of a document sit in one row, so the explode, group and pivot of
     the long form reduce to a position lookup per label. A label nobody wrote
     gives a NULL column. Equal to ``kv_pivot(kv_long(..))`` for documents that
-    have at least one pair; documents without one keep a row here.
+    have at least one labelled pair, with a value or without; a document without
+    any pair has no rows in the long form and keeps its row here.
     """
     bag = F.from_json(F.col(column), f"STRUCT<{schemas.KV_BAG}>")
-    return kv_wide_from_bag(df, bag, keep, labels)
+    return kv_wide_from_bag(df, bag, keep, labels, readable_only)
 
 
 def kv_wide_from_bag(
@@ -95,9 +100,13 @@ def kv_wide_from_bag(
     bag: Column,
     keep: Sequence[str] = (),
     labels: Sequence[str] = tuple(schemas.RECEIPT_LABELS),
+    readable_only: bool = False,
 ) -> DataFrame:
     """``kv_wide`` for a bag that is a struct of Type, Key and Value lists already."""
     opened = settled(df, {"_kv": bag})
+    if readable_only:
+        lists = [F.col(f"_kv.{name}").isNotNull() for name in ("Type", "Key", "Value")]
+        opened = opened.filter(lists[0] & lists[1] & lists[2])
     names = receipt_labels(F.col("_kv.Type"), F.col("_kv.Key"))
     # A pair without a value must not win over a later one that has a value.
     live = F.zip_with(names, "_kv.Value", lambda name, v: F.when(v.isNotNull(), name))

@@ -2,7 +2,7 @@
 
 A page table holds one row per page, ``page`` being unique within ``doc``. Any
 document may hold a large share of all rows, so nothing here brings all pages
-of a document into one task.
+of a document into one task or one row: merged documents are in long form.
 """
 
 from __future__ import annotations
@@ -14,10 +14,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tillroll.functions.paths import document_kind
 from tillroll.storage import materialize
 
-# Pages merged into one output row. Documents up to this length are one row;
-# longer ones continue in further rows, so a row never outgrows a task.
-PAGES_PER_PART = 1000
-
 
 def page_count(pages: DataFrame, doc: str) -> DataFrame:
     return pages.groupBy(doc).agg(F.count(F.lit(1)).alias("pages"))
@@ -40,11 +36,17 @@ def route_documents(files: DataFrame, counts: DataFrame, doc: str, key: str) ->
     )
 
 
+def unhashed_pages(pages: DataFrame, page_hash: str) -> DataFrame:
+    """Pages whose hash is missing: they repeat nothing, and are worth a look."""
+    return pages.filter(F.col(page_hash).isNull())
+
+
 def first_occurrences(pages: DataFrame, doc: str, page: str, page_hash: str) -> DataFrame:
-    """Only the first page of each hash; later distinct pages stay."""
+    """Only the first page of each hash; later distinct pages stay, and so do pages without a hash."""
     by_hash = Window.partitionBy(doc, page_hash).orderBy(page)
-    ranked = pages.withColumn("_nth", F.row_number().over(by_hash))
-    return ranked.filter(F.col("_nth") == 1).drop("_nth")
+    ranked = pages.filter(F.col(page_hash).isNotNull()).withColumn("_nth", F.row_number().over(by_hash))
+    first = ranked.filter(F.col("_nth") == 1).drop("_nth")
+    return first.unionByName(unhashed_pages(pages, page_hash))
 
 
 def first_repeats(pages: DataFrame, doc: str, page: str, page_hash: str) -> DataFrame:
@@ -52,11 +54,13 @@ def first_repeats(pages: DataFrame, doc: str, page: str, page_hash: str) -> Data
 
     That page is the second of its hash. Spark keeps at most two rows per
     (doc, hash) in every map task before the shuffle (WindowGroupLimit), so a
-    hash that fills a third of the table still shuffles next to nothing.
+    hash that fills a third of the table still shuffles next to nothing. A page
+    without a hash repeats nothing.
     """
     by_hash = Window.partitionBy(doc, page_hash).orderBy(page)
     second = (
-        pages.select(doc, page_hash, page)
+        pages.filter(F.col(page_hash).isNotNull())
+        .select(doc, page_hash, page)
         .withColumn("_nth", F.row_number().over(by_hash))
         .filter(F.col("_nth") == 2)
     )
@@ -69,78 +73,55 @@ def pages_before_duplicate(
     page: str,
     page_hash: str,
     drop_only_duplicates: bool = False,
+    work: str | None = None,
 ) -> DataFrame:
     """Pages up to, not including, the first page whose hash was seen before.
 
     ``drop_only_duplicates`` keeps later distinct pages as well.
 
-    The cut list has one row per document and is written out first: the join
-    then broadcasts it if it is small by measured size, and otherwise splits a
-    hot document's pages over several tasks.
+    The cut list has one row per document and is written out first, into
+    ``work`` or a new folder: the join then broadcasts it if it is small by
+    measured size, and otherwise splits a hot document's pages over several
+    tasks.
     """
     if drop_only_duplicates:
         return first_occurrences(pages, doc, page, page_hash)
-    cuts = materialize(first_repeats(pages, doc, page, page_hash), "page-cuts")
+    cuts = materialize(first_repeats(pages, doc, page, page_hash), "page-cuts", work)
     joined = pages.join(cuts, doc, "left")
     return joined.filter(F.col("_cut").isNull() | (F.col(page) < F.col("_cut"))).drop("_cut")
 
 
-def part_of(page: str, pages_per_part: int, first_page: int = 1):
-    return F.floor((F.col(page) - first_page) / pages_per_part).cast("bigint")
-
-
-def _field(name: str):
-    return lambda struct: struct[name]
-
-
 def combine_pages(
-    pages: DataFrame,
-    doc: str,
-    order: Sequence[str],
-    bags: Sequence[str],
-    pages_per_part: int = PAGES_PER_PART,
+    pages: DataFrame, doc: str, order: Sequence[str], bags: Sequence[str]
 ) -> DataFrame:
-    """Concatenate each list column over the pages of a document, in page order.
+    """The parallel lists of all pages as one list per document, in long form.
 
-    ``order`` starts with the page number. Output: ``doc``, ``part`` and the
-    merged lists; part 0 is the whole document unless it has more than
-    ``pages_per_part`` pages. Reading the parts in order gives the full lists.
+    One row per list element: ``doc``, the columns of ``order`` (the page number
+    first), ``pos`` in its page's lists, and the element of every bag. Sorted by
+    ``order`` and ``pos`` these are the document's merged lists. The shape does
+    not depend on a document's size, and nothing is shuffled.
     """
-    parted = pages.withColumn("part", part_of(order[0], pages_per_part))
-    # Both keys are named so that a document's parts spread over tasks even when
-    # the input is already partitioned by document alone.
-    spread = parted.select(doc, "part", *order, *bags).repartition(doc, "part")
-    collected = spread.groupBy(doc, "part").agg(
-        F.array_sort(F.collect_list(F.struct(*order, *bags))).alias("_pages")
-    )
-    merged = [
-        F.flatten(F.transform("_pages", _field(bag))).alias(bag) for bag in bags
-    ]
-    return collected.select(doc, "part", *merged)
+    elements = F.posexplode(F.arrays_zip(*bags)).alias("pos", "_e")
+    exploded = pages.select(doc, *order, elements)
+    return exploded.select(doc, *order, "pos", *[F.col("_e")[b].alias(b) for b in bags])
 
 
-def combine_fields(
-    pages: DataFrame,
-    doc: str,
-    page: str,
-    fields: str,
-    pages_per_part: int = PAGES_PER_PART,
-) -> DataFrame:
-    """As ``combine_pages`` for a map of lists with arbitrary keys, in long form."""
-    exploded = pages.select(
-        doc,
-        page,
-        part_of(page, pages_per_part).alias("part"),
-        F.explode(fields).alias("field", "_values"),
-    )
-    collected = exploded.groupBy(doc, "part", "field").agg(
-        F.array_sort(F.collect_list(F.struct(page, "_values"))).alias("_pages")
-    )
-    merged = F.flatten(F.transform("_pages", lambda p: p["_values"]))
-    return collected.select(doc, "part", "field", merged.alias("values"))
+def combine_fields(pages: DataFrame, doc: str, page: str, fields: str) -> DataFrame:
+    """As ``combine_pages`` for a map of lists with arbitrary keys: doc, field, page, pos, value."""
+    per_field = pages.select(doc, page, F.explode(fields).alias("field", "_values"))
+    return per_field.select(doc, "field", page, F.posexplode("_values").alias("pos", "value"))
 
 
 def document_total(pages: DataFrame, doc: str, total: str) -> DataFrame:
-    """Sum of page totals; decimal, so the result does not depend on the order."""
-    summed = F.sum(F.col(total).cast("decimal(28,6)"))
-    return pages.groupBy(doc).agg(F.round(summed, 2).cast("double").alias("total_amount"))
+    """Sum of page totals, and how many pages had none.
+
+    Decimal, so the result does not depend on the order; a document with a page
+    total that no decimal holds gets the sum of the doubles.
+    """
+    exact = F.col(total).try_cast("decimal(28,6)")
+    beyond = F.count_if(F.col(total).isNotNull() & exact.isNull())
+    rounded = F.round(F.try_sum(exact), 2).cast("double")
+    return pages.groupBy(doc).agg(
+        F.when(beyond == 0, rounded).otherwise(F.sum(F.col(total).cast("double"))).alias("total_amount"),
+        F.count_if(F.col(total).isNull()).alias("pages_without_total"),
+    )

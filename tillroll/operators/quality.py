@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from tillroll import schemas
 from tillroll.functions.binding import settled
 from tillroll.functions.dates import receipt_date
-from tillroll.functions.paths import basename
+from tillroll.functions.envelopes import entry, read_envelope
+from tillroll.functions.paths import basename, decode_key
 
 
 def missing_counts(df: DataFrame, column: str) -> DataFrame:
@@ -29,6 +30,78 @@ def _parsed(text: str, schema: str):
     )
 
 
+def _judged(checks) -> dict:
+    """``error_type`` and ``error_message`` of the first check that fails; NULL where none does."""
+    kind = message = F.when(F.lit(False), "")
+    for failed, name, where in checks:
+        kind, message = kind.when(failed, name), message.when(failed, where)
+    return {"error_type": kind, "error_message": message}
+
+
+def rejected(checked: DataFrame, stage: str, keep: list[str], raw: str) -> DataFrame:
+    """The bad rows of any stage in one shape: ``keep``, stage, error_type, error_message, raw."""
+    return checked.filter(F.col("error_type").isNotNull()).select(
+        *keep, F.lit(stage).alias("stage"), "error_type", "error_message", F.col(raw).alias("raw")
+    )
+
+
+def accepted(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col("error_type").isNull()).drop("error_type", "error_message")
+
+
+def check_notifications(df: DataFrame, column: str = "event") -> DataFrame:
+    """One row per record of a notification, or one for a notification without any.
+
+    Adds ``bucket`` and ``key`` (decoded) and says what is wrong.
+    """
+    opened = settled(df, {"_n": _parsed(column, schemas.NOTIFICATION)})
+    records = opened.select("*", F.explode_outer("_n.Records").alias("_record"))
+    bucket, key = F.col("_record.s3.bucket.name"), F.col("_record.s3.object.key")
+    checks = [
+        (F.col("_n").isNull() | F.col(f"_n.{schemas.CORRUPT}").isNotNull(), "MalformedJson", "notification"),
+        (F.col("_record").isNull(), "MissingField", "Records"),
+        (bucket.isNull(), "MissingField", "bucket"),
+        (key.isNull(), "MissingField", "key"),
+    ]
+    return records.withColumns({"bucket": bucket, "key": decode_key(key), **_judged(checks)}).drop("_n", "_record")
+
+
+def check_responses(df: DataFrame, raw: str = "raw") -> DataFrame:
+    """One row per expense document of a response, or one for a response without any.
+
+    Adds ``doc_no``, ``last`` (is it the file's last document), ``fields`` and
+    ``groups`` and says what is wrong. A response is parsed once.
+    """
+    opened = settled(df, {"_r": _parsed(raw, schemas.EXPENSE_RESPONSE)})
+    documents = F.col("_r.ExpenseDocuments")
+    exploded = opened.select("*", F.size(documents).alias("_n"), F.posexplode_outer(documents).alias("doc_no", "_doc"))
+    checks = [
+        (F.col("_r").isNull() | F.col(f"_r.{schemas.CORRUPT}").isNotNull(), "MalformedJson", "response"),
+        (F.col("_doc").isNull(), "MissingField", "ExpenseDocuments"),
+        (F.col("_doc.SummaryFields").isNull(), "MissingField", "SummaryFields"),
+        (F.col("_doc.LineItemGroups").isNull(), "MissingField", "LineItemGroups"),
+    ]
+    return exploded.withColumns(
+        {
+            "last": F.col("doc_no") == F.col("_n") - 1,
+            "fields": F.col("_doc.SummaryFields"),
+            "groups": F.col("_doc.LineItemGroups"),
+            **_judged(checks),
+        }
+    ).drop("_r", "_doc", "_n")
+
+
+def check_bags(df: DataFrame, column: str = "kv_data") -> DataFrame:
+    """Rows of the receipt table: a bag that is no JSON, or has no lists, is wrong."""
+    opened = settled(df, {"_b": _parsed(column, schemas.KV_BAG)})
+    lists = F.col("_b.Type").isNull() | F.col("_b.Key").isNull() | F.col("_b.Value").isNull()
+    checks = [
+        (F.col("_b").isNull() | F.col(f"_b.{schemas.CORRUPT}").isNotNull(), "MalformedJson", column),
+        (lists, "MissingField", column),
+    ]
+    return opened.withColumns(_judged(checks)).drop("_b")
+
+
 def check_envelopes(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Parse envelopes once and say what is wrong with each.
 
@@ -37,11 +110,8 @@ def check_envelopes(df: DataFrame, raw: str = "raw") -> DataFrame:
     good row has a NULL ``error_type``. One bad document never touches the
     others: rows are routed, nothing is raised and nothing is carried over.
     """
-    opened = settled(df, {"envelope": F.from_json(F.col(raw), schemas.ENVELOPE_MAP)}).withColumns(
-        {
-            name: F.try_element_at(F.col("envelope"), F.lit(name))
-            for name in ("lineitems", "kv_data")
-        }
+    opened = settled(df, {"envelope": read_envelope(F.col(raw))}).withColumns(
+        {name: entry(F.col("envelope"), name) for name in ("lineitems", "kv_data")}
     )
     parsed = settled(
         opened,
@@ -68,10 +138,7 @@ def check_envelopes(df: DataFrame, raw: str = "raw") -> DataFrame:
         (lacks("li", "items", "price", "quantity"), "MissingField", "lineitems"),
         (lacks("kv", "Type", "Key", "Value"), "MissingField", "kv_data"),
     ]
-    kind = message = F.when(F.lit(False), "")
-    for failed, name, where in checks:
-        kind, message = kind.when(failed, name), message.when(failed, where)
-    return parsed.withColumns({"error_type": kind, "error_message": message})
+    return parsed.withColumns(_judged(checks))
 
 
 def quarantine(checked: DataFrame, path: str = "path", raw: str = "raw") -> DataFrame:
@@ -81,14 +148,15 @@ def quarantine(checked: DataFrame, path: str = "path", raw: str = "raw") -> Data
 
 
 def good_envelopes(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.col("error_type").isNull()).drop("error_type", "error_message")
+    return accepted(checked)
 
 
 def last_by_basename(df: DataFrame, path: str = "path") -> DataFrame:
     """Objects with equal file name write to the same key: the last path wins.
 
-    ``max_by`` merges, so each map task sends at most one row per name.
+    The winners are found from the paths alone, each map task sending one path
+    per name; the documents themselves then only meet the list of winners.
     """
-    winner = F.max_by(F.struct(*df.columns), F.col(path)).alias("_row")
-    grouped = df.groupBy(basename(F.col(path)).alias("target")).agg(winner)
-    return grouped.select("target", "_row.*")
+    names = df.select(path).groupBy(basename(F.col(path)).alias("target"))
+    winners = names.agg(F.max(path).alias("_winner"))
+    return winners.join(df, winners["_winner"] == df[path]).drop("_winner")

@@ -10,6 +10,7 @@ from tillroll.functions.envelopes import (
     append_names,
     append_values,
     canonical_date_type,
+    entry,
     kv_bag_json,
     lineitem_bag_json,
     to_envelope_json,
@@ -23,9 +24,16 @@ from tillroll.operators.kv import kv_wide, kv_wide_from_bag
 from tillroll.operators.lineitems import lineitem_final, lineitem_raw
 from tillroll.operators.mapping import apply_mapping
 from tillroll.operators.pages import combine_pages, document_total, pages_before_duplicate
-from tillroll.operators.quality import check_envelopes, good_envelopes
+from tillroll.operators.quality import (
+    accepted,
+    check_envelopes,
+    check_responses,
+    good_envelopes,
+    last_by_basename,
+)
 from tillroll.storage import materialize
 
+# Which label becomes which column of the target table, and as what.
 KEYVALUE_MAPPING = [
     ("TOTALAMOUNT", "string", "TOTAL_AMOUNT", "double"),
     ("STOREIDS", "string", "STOREID", "string"),
@@ -109,13 +117,28 @@ def envelope_json(envelopes: DataFrame, keep: list[str], pretty: bool = True) ->
 # --- envelopes to enriched envelopes -------------------------------------------
 
 
-def enrich_envelopes(envelopes: DataFrame, path: str = "path", raw: str = "raw") -> DataFrame:
+_KNOWN_KEYS = ["lineitems", "kv_data", "time_taken", "total_amount", "Total_Amount"]
+
+
+def enrich_envelopes(
+    envelopes: DataFrame, path: str = "path", raw: str = "raw", last_writer: bool = False
+) -> DataFrame:
     """Enriched envelopes of all receipt keys, as columns. Narrow: no shuffle.
 
-    Input rows are ``path, raw``; bad ones are left to ``quarantine``.
+    Input rows are ``path, raw``; bad ones are left to ``quarantine``. Keys of an
+    envelope that the enrichment does not know come through in the map ``extra``.
+    ``last_writer`` keeps, of objects with equal file name, the one whose path
+    comes last, as when all write to one folder.
     """
     receipts = envelopes.filter(is_receipt_key(F.col(path)))
-    good = good_envelopes(check_envelopes(receipts, raw))
+    if last_writer:
+        receipts = last_by_basename(receipts, path).drop("target")
+    return enrich_checked(check_envelopes(receipts, raw), path)
+
+
+def enrich_checked(checked: DataFrame, path: str = "path") -> DataFrame:
+    """``enrich_envelopes`` for envelopes that were checked already."""
+    good = good_envelopes(checked)
     parsed = good.withColumns({"_total": total_amount(F.col("envelope")), **path_ids(F.col(path))})
     ids = {name: F.col(name) for name in ("tenant_id", "store_id", "session_id")}
     kv = F.struct(
@@ -129,11 +152,12 @@ def enrich_envelopes(envelopes: DataFrame, path: str = "path", raw: str = "raw")
         path,
         "lineitems",
         F.to_json(kv, {"ignoreNullFields": "false"}).alias("kv_data"),
-        F.try_element_at("envelope", F.lit("time_taken")).alias("time_taken"),
+        entry(F.col("envelope"), "time_taken").alias("time_taken"),
         F.col("_total").alias("Total_Amount"),
         "session_id",
         "store_id",
         "tenant_id",
+        F.map_filter("envelope", lambda key, _: ~key.isin(_KNOWN_KEYS)).alias("extra"),
     )
 
 
@@ -141,8 +165,8 @@ def enrich_envelopes(envelopes: DataFrame, path: str = "path", raw: str = "raw")
 
 
 def receipt_wide(enriched: DataFrame) -> DataFrame:
-    """One row per receipt with the kept labels as text; addresses on one line."""
-    return kv_wide(enriched).withColumn("ADDRESS", clean_address(F.col("ADDRESS")))
+    """One row per readable receipt with the kept labels as text; addresses on one line."""
+    return kv_wide(enriched, readable_only=True).withColumn("ADDRESS", clean_address(F.col("ADDRESS")))
 
 
 def keyvalue_from_wide(wide: DataFrame) -> DataFrame:
@@ -156,7 +180,10 @@ def keyvalue_from_wide(wide: DataFrame) -> DataFrame:
 
 
 def keyvalue_final(enriched: DataFrame) -> DataFrame:
-    """The ``keyvalue`` table. One narrow stage from scan to sink."""
+    """The ``keyvalue`` table. One narrow stage from scan to sink.
+
+    A bag that cannot be read gives no row; ``quality.check_bags`` names it.
+    """
     return keyvalue_from_wide(receipt_wide(enriched))
 
 
@@ -166,12 +193,12 @@ def lineitems_from_wide(wide: DataFrame) -> DataFrame:
 
 def lineitems(enriched: DataFrame) -> DataFrame:
     """The ``lineitem`` table. One narrow stage from scan to sink."""
-    return lineitems_from_wide(kv_wide(enriched))
+    return lineitems_from_wide(kv_wide(enriched, readable_only=True))
 
 
-def receipt_tables(enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both tables from one parse: the wide rows are written once and read twice."""
-    wide = materialize(receipt_wide(enriched), "receipts-wide")
+def receipt_tables(enriched: DataFrame, work: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both tables from one parse: the wide rows are written into ``work`` once and read twice."""
+    wide = materialize(receipt_wide(enriched), "receipts-wide", work)
     return keyvalue_from_wide(wide), lineitems_from_wide(wide)
 
 
@@ -219,38 +246,34 @@ _ITEM_BAGS = [
 
 
 def multipage_document(
-    pages: DataFrame, doc: str, page: str, page_hash: str, response: str, pretty: bool = True
-) -> DataFrame:
-    """One envelope per document (and part) from the pages before its first repeat.
-
-    The merged parts and the per-document totals are written out: the parts are
-    read twice, and a written totals table lets the last join treat a document
-    of very many parts as skew.
+    pages: DataFrame,
+    doc: str,
+    page: str,
+    page_hash: str,
+    response: str,
+    work: str | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Documents from their pages before the first repeat: fields, items, totals, rejects.
+
+    Fields and items are the merged lists in long form, one row per list element,
+    in the order ``page``, ``doc_no``, ``pos``. Totals have a row per document
+    with how many of its pages were rejected; a bad page takes nothing from the
+    good ones. The checked pages are written out once and read three times.
     """
-    kept = pages_before_duplicate(pages, doc, page, page_hash)
-    parsed = kept.select(
-        doc, page, F.from_json(response, f"STRUCT<{schemas.EXPENSE_RESPONSE}>").alias("_r")
-    ).select(doc, page, "_r.ExpenseDocuments")
-    bags = with_bags(expense_documents(parsed, [doc, page]))
-    flat = bags.select(
-        doc,
-        page,
-        "doc_no",
-        *[F.col(f"kv.{b}").alias(b) for b in _KV_BAGS],
-        *[F.col(f"li.{b}").alias(b) for b in _ITEM_BAGS],
-        F.array("total").alias("totals"),
-    )
-    merged = combine_pages(flat, doc, [page, "doc_no"], [*_KV_BAGS, *_ITEM_BAGS, "totals"])
-    parts = materialize(
-        merged.withColumn("part_total", array_total(F.col("totals"))).drop("totals"), "page-parts"
+    kept = pages_before_duplicate(pages, doc, page, page_hash, work=work)
+    checked = materialize(
+        check_responses(kept.select(doc, page, F.col(response).alias("raw"))), "pages-checked", work
     )
-    totals = materialize(document_total(parts, doc, "part_total"), "page-totals")
-    kv = F.struct(*[F.col(b) for b in _KV_BAGS])
-    items = F.struct(*[F.col(b) for b in _ITEM_BAGS])
-    return parts.join(totals, doc).select(
-        doc,
-        "part",
-        kv_bag_json(kv, pretty).alias("SummaryData"),
-        lineitem_bag_json(items, pretty).alias("LineItemsData"),
-        F.col("total_amount").alias("TotalAmount"),
+    bags = with_bags(accepted(checked).select(doc, page, "doc_no", "fields", "groups"))
+    kv = bags.select(doc, page, "doc_no", *[F.col(f"kv.{b}").alias(b) for b in _KV_BAGS])
+    li = bags.select(doc, page, "doc_no", *[F.col(f"li.{b}").alias(b) for b in _ITEM_BAGS])
+    order = [page, "doc_no"]
+    bad = F.col("error_type").isNotNull()
+    counts = checked.groupBy(doc).agg(F.count_if(bad).alias("rejected"))
+    totals = document_total(bags, doc, "total").drop("pages_without_total")
+    return (
+        combine_pages(kv, doc, order, _KV_BAGS),
+        combine_pages(li, doc, order, _ITEM_BAGS),
+        counts.join(totals, doc, "left"),
+        checked.filter(bad).select(doc, page, "error_type", "error_message", "raw"),
     )

@@ -3,6 +3,10 @@
 A cluster names the shared folder in ``spark.checkpoint.dir``; that setting is
 read from the session. Only a local session that has none gets a folder of its
 own, as unit tests do.
+
+Every function that writes takes the folder as ``work``; without one it makes a
+new folder below the shared one. ``release`` removes a folder once nothing reads
+its tables any more; a job that keeps to one folder releases all it wrote at once.
 """
 
 from __future__ import annotations
@@ -19,7 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not (spark.conf.get("spark.master", "") or "").startswith("local"):
+    master = spark.conf.get("spark.master", "") or ""
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.conf.get("spark.app.id")
     if app not in _local_dirs:
@@ -27,12 +32,13 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
-def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder; never reused, so a retry cannot mix runs."""
-    return f"{shared_dir(spark).rstrip('/')}/tillroll/{name}-{uuid.uuid4().hex}"
+def work_path(spark: SparkSession, name: str, work: str | None = None) -> str:
+    """A fresh path, below ``work`` if given; never reused, so a retry cannot mix runs."""
+    root = work or f"{shared_dir(spark).rstrip('/')}/tillroll"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, work: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Compared with ``checkpoint()`` the table is columnar and carries its real
@@ -42,6 +48,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     that come straight from a shuffle, which an aggregate does not).
     """
     spark = df.sparkSession
-    path = work_path(spark, name)
+    path = work_path(spark, name, work)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, work: str) -> bool:
+    """Remove a work folder and all tables in it; whether there was one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -28,17 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of an input that comes in fewer splits than cores.
-
-    The work per row (building and parsing JSON) far outweighs moving a few
-    numbers. Inputs of a cluster's size have more splits than cores and are
-    left where they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scalar columns of each receipt."""
     lines = table(spark, sf_dir, "lineitem").select(
@@ -56,7 +45,7 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("ck"), "c_name", F.col("c_nationkey").cast("bigint").alias("nk")
     )
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("pk"), "p_name")
-    joined = spread(lines).join(orders, "k").join(customers, "ck").join(parts, "pk")
+    joined = lines.join(orders, "k").join(customers, "ck").join(parts, "pk")
     session = F.concat_ws("-", F.concat(F.lit("S"), "k"), "ln", "pk", "sk", "cents")
     return joined.withColumns(
         {
@@ -341,7 +330,11 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order pages with an OCR response each: one summary field, one or two items."""
+    """Order pages with an OCR response each: one summary field, one or two items.
+
+    Some are damaged: page 2 of doc % 17 = 3 is broken text, page 1 of doc % 19 = 4
+    has no summary fields.
+    """
 
     def detection(text, confidence):
         return F.struct(text.alias("Text"), F.lit(confidence).alias("Confidence"))
@@ -376,12 +369,27 @@ def page_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(summary).alias("SummaryFields"),
         F.array(F.struct(lines.alias("LineItems"))).alias("LineItemGroups"),
     )
-    return order_pages(spark, sf_dir).select(
-        "doc",
-        "page_no",
-        "page_hash",
-        F.to_json(F.struct(F.array(document).alias("ExpenseDocuments"))).alias("response"),
+    whole = F.to_json(F.struct(F.array(document).alias("ExpenseDocuments")))
+    headless = F.to_json(F.struct(F.array(document.dropFields("SummaryFields")).alias("ExpenseDocuments")))
+    doc, page_no = F.col("doc"), F.col("page_no")
+    damaged = (
+        F.when((doc % 17 == 3) & (page_no == 2), "{oops").when((doc % 19 == 4) & (page_no == 1), headless).otherwise(whole)
+    )
+    return order_pages(spark, sf_dir).select("doc", "page_no", "page_hash", damaged.alias("response"))
+
+
+def damaged_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``session, path, response``: OCR output of which some is broken on purpose.
+
+    By order key: k % 29 = 7 broken text, k % 23 = 5 no documents, k % 19 = 3 a
+    document without line-item groups.
+    """
+    k = F.regexp_extract("session", "^S([0-9]+)-", 1).cast("bigint")
+    no_groups = '{"ExpenseDocuments": [{"SummaryFields": []}]}'
+    damaged = (
+        F.when(k % 29 == 7, "{oops").when(k % 23 == 5, "{}").when(k % 19 == 3, no_groups).otherwise(F.col("response"))
     )
+    return responses(spark, sf_dir).select("session", "path", damaged.alias("response"))
 
 
 # --- the same rows for the oracle ---------------------------------------------------
@@ -439,5 +447,8 @@ pages_of AS (
     FROM pages_of) WHERE nth > 1 GROUP BY doc
 ), kept AS (
   SELECT p.* FROM pages_of p LEFT JOIN cuts c ON p.doc = c.doc WHERE c.cut IS NULL OR p.page_no < c.cut
+), judged AS (
+  SELECT *, CASE WHEN doc % 17 = 3 AND page_no = 2 THEN 'MalformedJson'
+                 WHEN doc % 19 = 4 AND page_no = 1 THEN 'MissingField' END AS error_type FROM kept
 )
 """

@@ -9,7 +9,7 @@ from tillroll.operators import keys, kv, lineitems, pages, quality
 from tillroll.plans import receipts as plans
 from tillroll.sources import readers, writers
 from tillroll.storage import work_path
-from tillroll.streaming.ingest import envelope_stream, ingest_available
+from tillroll.streaming.ingest import envelope_stream, ingest_available, read_table
 from tillroll.workload import derive
 from tillroll.workload.derive import BASE_SQL, PAGES_SQL
 from tillroll.workload.registry import query
@@ -37,18 +37,29 @@ def _long(spark, sf_dir):
 
 @query(
     WITH
-    + """SELECT session, CAST(4 + (CASE WHEN k % 8 <> 7 THEN 1 ELSE 0 END) +
-           (CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END) + 6 AS BIGINT) AS entries, c_name AS first_value,
-           tenant AS tenant FROM base"""
+    + """, entries AS (SELECT session, unnest([
+        {'n': 0, 'type': 'NAME', 'key': 'User', 'value': c_name},
+        {'n': 1, 'type': 'DATE', 'key': '', 'value': date_text},
+        {'n': 2, 'type': 'ADDRESS', 'key': 'other', 'value': address},
+        {'n': 3, 'type': 'OTHER', 'key': ' Mobile: ', 'value': mobile},
+        {'n': 4, 'type': 'NAME', 'key': 'User', 'value': CASE WHEN k % 7 = 0 THEN 'Guest' END},
+        {'n': 8, 'type': 'tenant_ids', 'key': 'tenant_ids', 'value': tenant},
+        {'n': 9, 'type': 'session_ids', 'key': 'session_ids', 'value': session},
+        {'n': 10, 'type': 'store_ids', 'key': 'store_ids', 'value': store}]) AS e FROM base)
+    SELECT session, CAST(row_number() OVER (PARTITION BY session ORDER BY e.n) - 1 + CASE WHEN e.n > 4 THEN 3 ELSE 0 END AS BIGINT) AS pos,
+           e.type AS type, e.key AS key, e.value AS value FROM entries WHERE e.value IS NOT NULL"""
 )
 def parse_kv_json(spark, sf_dir):
+    """Every entry but the three item lists and the total, which other queries compare."""
     parsed = kv.parse_kv(derive.enriched(spark, sf_dir))
-    flat = parsed.select("session", "kv.*")
-    return flat.select(
+    zipped = F.arrays_zip(*[F.col(f"kv.{name}").alias(name) for name in ("Type", "Key", "Value")])
+    pairs = parsed.select("session", F.posexplode(zipped).alias("pos", "e"))
+    return pairs.filter(~F.col("e.Type").isin("items", "price", "quantity", "total_amount")).select(
         "session",
-        F.size("Type").cast("bigint").alias("entries"),
-        F.get("Value", F.lit(0)).alias("first_value"),
-        F.try_element_at("Value", F.lit(-4)).alias("tenant"),
+        F.col("pos").cast("bigint").alias("pos"),
+        F.col("e.Type").alias("type"),
+        F.col("e.Key").alias("key"),
+        F.col("e.Value").alias("value"),
     )
 
 
@@ -66,9 +77,15 @@ def kv_pivot(spark, sf_dir):
     return kv.kv_pivot(_long(spark, sf_dir), ["session"], labels)
 
 
-@query(WITH + _PIVOT_SQL + " FROM base")
+@query(
+    WITH
+    + """, wide AS (SELECT session, unnest([{'label': 'USER', 'value': c_name}, {'label': 'INVOICERECEIPTDATE', 'value': date_text},
+      {'label': 'ADDRESS', 'value': address}, {'label': 'MOBILE', 'value': mobile}]) AS e FROM base)
+    SELECT session, e.label AS label, e.value AS value FROM wide WHERE e.value IS NOT NULL"""
+)
 def kv_pivot_dynamic(spark, sf_dir):
-    return kv.kv_pivot_dynamic(_long(spark, sf_dir), ["session"])
+    pivoted = kv.kv_pivot_dynamic(_long(spark, sf_dir), ["session"])
+    return pivoted.select("session", F.explode("labels").alias("label", "value"))
 
 
 @query(WITH + """SELECT session, c_name AS "USER", mobile AS MOBILE, store, tenant FROM base""")
@@ -496,31 +513,40 @@ def responses_to_lineitem(spark, sf_dir):
     return plans.lineitems(plans.enrich_envelopes(_raw_envelopes(spark, sf_dir)))
 
 
-@query(
-    WITH
-    + """, kv_rows AS ("""
-    + _KEYVALUE_SQL
-    + """), li_rows AS ("""
-    + _LINEITEM_SQL
-    + """) SELECT 'keyvalue' AS target, count(*) AS n, count(DISTINCT "SESSIONID") AS sessions,
-       sum(CAST(round("TOTAL_AMOUNT" * 100) AS BIGINT))::BIGINT AS cents FROM kv_rows
-       UNION ALL SELECT 'lineitem', count(*), count(DISTINCT "SESSIONID"),
-       sum(CAST(round("PRICE" * 100) AS BIGINT))::BIGINT FROM li_rows"""
-)
+@query(WITH + _KEYVALUE_SQL)
 def receipt_tables(spark, sf_dir):
-    """Both tables from one parse, summarised."""
-    key_values, items = plans.receipt_tables(derive.enriched(spark, sf_dir))
-
-    def summary(df, name, amount):
-        return df.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_distinct("SESSIONID").alias("sessions"),
-            F.sum(F.round(F.col(amount) * 100).cast("bigint")).alias("cents"),
-        ).select(F.lit(name).alias("target"), "n", "sessions", "cents")
-
-    return summary(key_values, "keyvalue", "TOTAL_AMOUNT").unionByName(
-        summary(items, "lineitem", "PRICE")
+    """The first of both tables from one parse."""
+    return plans.receipt_tables(derive.enriched(spark, sf_dir))[0]
+
+
+@query(WITH + _LINEITEM_SQL)
+def receipt_tables_items(spark, sf_dir):
+    """The second of both tables from one parse."""
+    return plans.receipt_tables(derive.enriched(spark, sf_dir))[1]
+
+
+def _streamed(spark, sf_dir, name):
+    """Envelope files, some damaged, through the file stream.
+
+    Files hold many envelopes each, so the ids a path carries are per file and
+    are left out. Damage by order key: k % 23 = 5 no line items, k % 19 = 3 a
+    broken key/value bag.
+    """
+    root, out = work_path(spark, "incoming"), work_path(spark, "streamed")
+    k = F.regexp_extract("session", "^S([0-9]+)-", 1).cast("bigint")
+    damaged = _envelopes(spark, sf_dir).select(
+        F.when(k % 23 != 5, F.col("lineitems")).alias("lineitems"),
+        F.when(k % 19 == 3, "{oops").otherwise(F.col("kv_data")).alias("kv_data"),
+        "time_taken",
+        "Total_Amount",
     )
+    writers.write_envelopes(damaged, f"{root}/textract")
+    incoming = envelope_stream(spark, root, one_per_file=False)
+    ingest_available(incoming, out, work_path(spark, "stream-checkpoints"))
+    return read_table(spark, out, name)
+
+
+_STREAM_GOOD = "k % 23 <> 5 AND k % 19 <> 3"
 
 
 @query(
@@ -530,25 +556,35 @@ def receipt_tables(spark, sf_dir):
          CASE WHEN d.doc_no = 0 THEN b.receipt_date END AS "DATES",
          CASE WHEN d.doc_no = 0 THEN replace(b.address, chr(10), ' ') END AS "ADDRESS",
          CASE WHEN d.doc_no = 0 AND b.k % 13 <> 0 THEN CAST(b.mobile AS BIGINT) END AS "MOBILE"
-         FROM doc_totals d JOIN base b ON d.session = b.session"""
+         FROM doc_totals d JOIN base b ON d.session = b.session WHERE b."""
+    + _STREAM_GOOD.replace("AND k", "AND b.k")
 )
 def stream_ingest(spark, sf_dir):
-    """Envelope files through the file stream; equal to the batch result.
+    rows = _streamed(spark, sf_dir, "keyvalue")
+    return rows.select("TOTAL_AMOUNT", "NAME", "DATES", "ADDRESS", "MOBILE")
 
-    Files hold many envelopes each, so the ids a path carries are per file and
-    are left out here.
-    """
-    root = work_path(spark, "incoming")
-    writers.write_envelopes(
-        _envelopes(spark, sf_dir).select("lineitems", "kv_data", "time_taken", "Total_Amount"),
-        f"{root}/textract",
-    )
-    out = work_path(spark, "streamed")
-    incoming = envelope_stream(spark, root, one_per_file=False)
-    ingest_available(incoming, out, work_path(spark, "stream-checkpoints"))
-    return spark.read.schema(schemas.KEYVALUE).parquet(f"{out}/keyvalue").select(
-        "TOTAL_AMOUNT", "NAME", "DATES", "ADDRESS", "MOBILE"
-    )
+
+@query(
+    WITH
+    + """SELECT item_clean AS "ITEMS", CASE WHEN bad_price THEN 0.0 ELSE price END AS "PRICE", quantity AS "QUANTITY"
+         FROM items WHERE """
+    + _STREAM_GOOD
+)
+def stream_lineitem(spark, sf_dir):
+    return _streamed(spark, sf_dir, "lineitem").drop("SESSIONID")
+
+
+@query(
+    WITH
+    + _DOCS_SQL
+    + """SELECT CASE WHEN k % 23 = 5 THEN 'MissingField' ELSE 'MalformedJson' END AS error_type,
+         CASE WHEN k % 23 = 5 THEN 'lineitems' ELSE 'kv_data' END AS error_message
+         FROM docs WHERE NOT ("""
+    + _STREAM_GOOD
+    + ")"
+)
+def stream_quarantine(spark, sf_dir):
+    return _streamed(spark, sf_dir, "quarantine").select("error_type", "error_message")
 
 
 # --- pages -------------------------------------------------------------------------------------
@@ -613,19 +649,23 @@ def pages_without_duplicates(spark, sf_dir):
     )
 
 
-@query("WITH " + PAGES_SQL + "SELECT doc, sum(cents) / 100.0 AS total_amount FROM pages_of GROUP BY doc")
+@query(
+    "WITH "
+    + PAGES_SQL
+    + """SELECT doc, CAST(sum(CASE WHEN page_no % 5 <> 3 THEN cents END) / 100.0 AS DOUBLE) AS total_amount,
+         count_if(page_no % 5 = 3)::BIGINT AS pages_without_total FROM pages_of GROUP BY doc"""
+)
 def document_total(spark, sf_dir):
-    table = derive.order_pages(spark, sf_dir).withColumn("total", F.col("cents") / 100.0)
+    known = F.when(F.col("page_no") % 5 != 3, F.col("cents") / 100.0)
+    table = derive.order_pages(spark, sf_dir).withColumn("total", known)
     return pages.document_total(table, "doc", "total")
 
 
 @query(
     "WITH "
     + PAGES_SQL
-    + """SELECT doc, CAST(0 AS BIGINT) AS part,
-         string_agg('part ' || part || CASE WHEN n > 1 THEN '|fee' ELSE '' END, '|' ORDER BY page_no) AS items,
-         string_agg(qty || CASE WHEN n > 1 THEN '|' ELSE '' END, '|' ORDER BY page_no) AS quantities
-         FROM pages_of GROUP BY doc"""
+    + """SELECT doc, page_no, 0 AS pos, 'part ' || part AS items, CAST(qty AS VARCHAR) AS quantity FROM pages_of
+         UNION ALL SELECT doc, page_no, 1, 'fee', '' FROM pages_of WHERE n > 1"""
 )
 def combine_pages(spark, sf_dir):
     def with_fee(first, second):
@@ -637,17 +677,31 @@ def combine_pages(spark, sf_dir):
         with_fee(F.concat(F.lit("part "), "part"), F.lit("fee")).alias("items"),
         with_fee(F.col("qty").cast("string"), F.lit("")).alias("quantity"),
     )
-    merged = pages.combine_pages(table, "doc", ["page_no"], ["items", "quantity"])
-    return merged.select(
-        "doc", "part", joined(F.col("items")).alias("items"), joined(F.col("quantity")).alias("quantities")
+    return pages.combine_pages(table, "doc", ["page_no"], ["items", "quantity"])
+
+
+@query(
+    """SELECT event_type AS doc, event_id AS page_no, 0 AS pos, props AS items, user_id AS users FROM events
+       UNION ALL SELECT event_type, event_id, 1, event_type, event_id FROM events WHERE event_id % 3 = 0"""
+)
+def combine_pages_by_event_type(spark, sf_dir):
+    """A handful of documents with thousands of pages each."""
+    third = F.col("event_id") % 3 == 0
+    table = derive.table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("doc"),
+        F.col("event_id").alias("page_no"),
+        F.when(third, F.array("props", "event_type")).otherwise(F.array("props")).alias("items"),
+        F.when(third, F.array("user_id", "event_id")).otherwise(F.array("user_id")).alias("users"),
     )
+    return pages.combine_pages(table, "doc", ["page_no"], ["items", "users"])
 
 
 @query(
     "WITH "
     + PAGES_SQL
-    + """SELECT doc, CAST(0 AS BIGINT) AS part, 'part' || page_hash AS field,
-         string_agg(part || '|' || qty, '|' ORDER BY page_no) AS merged FROM pages_of GROUP BY doc, page_hash"""
+    + """, f AS (SELECT doc, 'part' || page_hash AS field, page_no, part, qty FROM pages_of)
+    SELECT doc, field, page_no, 0 AS pos, CAST(part AS VARCHAR) AS value FROM f
+    UNION ALL SELECT doc, field, page_no, 1, CAST(qty AS VARCHAR) FROM f"""
 )
 def combine_fields(spark, sf_dir):
     fields = F.create_map(
@@ -655,30 +709,94 @@ def combine_fields(spark, sf_dir):
         F.array(F.col("part").cast("string"), F.col("qty").cast("string")),
     )
     table = derive.order_pages(spark, sf_dir).select("doc", "page_no", fields.alias("fields"))
-    merged = pages.combine_fields(table, "doc", "page_no", "fields")
-    return merged.select("doc", "part", "field", joined(F.col("values")).alias("merged"))
+    return pages.combine_fields(table, "doc", "page_no", "fields")
+
+
+def _multipage(spark, sf_dir):
+    responses = derive.page_responses(spark, sf_dir)
+    return plans.multipage_document(responses, "doc", "page_no", "page_hash", "response")
 
 
 @query(
     "WITH "
     + PAGES_SQL
-    + """SELECT doc, CAST(0 AS BIGINT) AS part, string_agg('page ' || page_no, '|' ORDER BY page_no) AS page_names,
-         string_agg('part ' || part || CASE WHEN n > 1 THEN '|fee' ELSE '' END, '|' ORDER BY page_no) AS items,
-         sum(cents + CASE WHEN n > 1 THEN 150 ELSE 0 END) / 100.0 AS total_amount FROM kept GROUP BY doc"""
+    + """SELECT doc, page_no, 0 AS doc_no, 0 AS pos, 'PAGE' AS "Type", 'Page' AS "Key", 'page ' || page_no AS "Value",
+         80.0::DOUBLE AS "KeyConfidence", 81.0::DOUBLE AS "ValueConfidence" FROM judged WHERE error_type IS NULL"""
 )
 def multipage_document(spark, sf_dir):
-    made = plans.multipage_document(
-        derive.page_responses(spark, sf_dir), "doc", "page_no", "page_hash", "response"
-    )
-    kv_bag = F.from_json("SummaryData", f"STRUCT<{schemas.KV_BAG}>")
-    items = F.from_json("LineItemsData", f"STRUCT<{schemas.LINEITEM_BAG}>")
-    return made.select(
-        "doc",
-        "part",
-        joined(kv_bag["Value"]).alias("page_names"),
-        joined(items["items"]).alias("items"),
-        F.col("TotalAmount").alias("total_amount"),
+    """The merged fields of every document."""
+    return _multipage(spark, sf_dir)[0]
+
+
+@query(
+    "WITH "
+    + PAGES_SQL
+    + """, lines AS (
+      SELECT doc, page_no, 0 AS pos, 'part ' || part AS items, cents / 100.0 AS price, CAST(qty AS VARCHAR) AS quantity
+      FROM judged WHERE error_type IS NULL
+      UNION ALL SELECT doc, page_no, 1, 'fee', 1.5, '' FROM judged WHERE error_type IS NULL AND n > 1)
+    SELECT doc, page_no, 0 AS doc_no, pos, items, CAST(price AS DOUBLE) AS price, quantity,
+           90.0::DOUBLE AS items_confidence, 90.0::DOUBLE AS price_confidence, 90.0::DOUBLE AS quantity_confidence
+    FROM lines"""
+)
+def multipage_items(spark, sf_dir):
+    return _multipage(spark, sf_dir)[1]
+
+
+@query(
+    "WITH "
+    + PAGES_SQL
+    + """SELECT doc, count_if(error_type IS NOT NULL)::BIGINT AS rejected,
+         CAST(sum(CASE WHEN error_type IS NULL THEN cents + CASE WHEN n > 1 THEN 150 ELSE 0 END END) / 100.0 AS DOUBLE)
+           AS total_amount FROM judged GROUP BY doc"""
+)
+def multipage_totals(spark, sf_dir):
+    return _multipage(spark, sf_dir)[2]
+
+
+@query(
+    "WITH "
+    + PAGES_SQL
+    + """SELECT doc, page_no, error_type, CASE WHEN error_type = 'MalformedJson' THEN 'response' ELSE 'SummaryFields' END
+         AS error_message FROM judged WHERE error_type IS NOT NULL"""
+)
+def quarantine_pages(spark, sf_dir):
+    return _multipage(spark, sf_dir)[3].drop("raw")
+
+
+_DAMAGE_SQL = """, damaged AS (SELECT session, path, CASE WHEN k % 29 = 7 THEN 'response' WHEN k % 23 = 5 THEN 'ExpenseDocuments'
+      WHEN k % 19 = 3 THEN 'LineItemGroups' END AS error_message FROM paths)
+"""
+
+
+@query(
+    WITH
+    + _DAMAGE_SQL
+    + """SELECT session, 'response' AS stage, CASE WHEN error_message = 'response' THEN 'MalformedJson' ELSE 'MissingField' END
+         AS error_type, error_message FROM damaged WHERE error_message IS NOT NULL"""
+)
+def quarantine_responses(spark, sf_dir):
+    checked = quality.check_responses(derive.damaged_responses(spark, sf_dir), "response")
+    return quality.rejected(checked, "response", ["session"], "response").drop("raw")
+
+
+@query(
+    """SELECT o_orderkey AS k, 'notification' AS stage,
+         CASE WHEN o_orderkey % 7 = 1 THEN 'MalformedJson' ELSE 'MissingField' END AS error_type,
+         CASE WHEN o_orderkey % 7 = 1 THEN 'notification' WHEN o_orderkey % 7 = 2 THEN 'Records' ELSE 'key' END AS error_message
+       FROM orders WHERE o_orderkey % 7 IN (1, 2, 3)"""
+)
+def quarantine_notifications(spark, sf_dir):
+    k = F.col("o_orderkey")
+    good = F.concat(F.lit('{"Records": [{"s3": {"bucket": {"name": "b"}, "object": {"key": "'), k, F.lit('.pdf"}}}]}'))
+    event = (
+        F.when(k % 7 == 1, "{oops")
+        .when(k % 7 == 2, '{"Records": []}')
+        .when(k % 7 == 3, '{"Records": [{"s3": {"bucket": {"name": "b"}, "object": {}}}]}')
+        .otherwise(good)
     )
+    events = derive.table(spark, sf_dir, "orders").select(k.alias("k"), event.alias("event"))
+    return quality.rejected(quality.check_notifications(events), "notification", ["k"], "event").drop("raw")
 
 
 # --- keys ---------------------------------------------------------------------------------------
