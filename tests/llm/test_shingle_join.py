@@ -96,3 +96,11 @@ def test_long_and_repeated_rows(spark):
     rows = [(1, long), (1, long), (2, long + " more words at the end"), (None, long), (3, None), (3, None)]
     got = S.similar_documents(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()
     assert sorted((str(r.doc_id), r.component_id) for r in got) == [("1", 1), ("1", 1), ("2", 1), ("3", 3), ("3", 3), ("None", 1)]
+
+
+def test_stored_tokens_round_trip():
+    random_ = np.random.default_rng(6)
+    for buckets in (1, 250, 70_000):
+        named = random_.integers(0, 1 << 40, 50, dtype=np.uint64) | (random_.integers(0, buckets, 50, dtype=np.uint64) << np.uint64(40))
+        assert S._long(S._short(named)).tolist() == named.tolist()
+    assert S._long(S._short(np.zeros(0, np.uint64))).tolist() == []

@@ -47,7 +47,7 @@ from tillroll.llm.components import connected
 
 WORDS = 5
 PERCENT = 75
-BUCKET_TOKENS = 4_000_000
+BUCKET_TOKENS = 8_000_000
 # A tile holds at most about so many sets and tokens.
 TILE_SETS = 256
 TILE_TOKENS = 2_000_000
@@ -157,11 +157,13 @@ def _unpacked(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     ranked = ids[order]
     new = np.ones(len(ids), bool)
     new[1:] = (ranked[1:] != ranked[:-1]).any(1)
-    nth = np.empty(len(ids), np.int64)
+    nth = np.empty(len(ids), np.int32)
     nth[order] = np.cumsum(new) - 1
     sizes = flat("sizes", np.uint32)[order][new].astype(np.int64)
     owner = np.repeat(nth, flat("counts", np.uint32))
-    tokens = flat("low", np.uint32).astype(np.uint64) | (flat("high", np.uint8).astype(np.uint64) << np.uint64(32))
+    tokens = flat("high", np.uint8).astype(np.uint64)
+    tokens <<= np.uint64(32)
+    np.bitwise_or(tokens, flat("low", np.uint32), out=tokens)
     return ranked[new], sizes, owner, tokens, flat("marks", np.uint8)
 
 
@@ -201,9 +203,15 @@ def _count(parts: int):
 
     def run(group: pa.Table) -> pa.Table:
         bucket = group.column("part")[0].as_py()
-        ids, sizes, owner, tokens, _ = _unpacked(group)
+        ids, sizes, owner, both, _ = _unpacked(group)
         # A token in the upper 40 bits, its set below; a bucket has far fewer than 2**24 sets.
-        both = np.unique((tokens << np.uint64(24)) | owner.astype(np.uint64))
+        both <<= np.uint64(24)
+        np.bitwise_or(both, owner.astype(np.uint32), out=both)
+        del owner
+        both.sort()
+        new = np.ones(len(both), bool)
+        np.not_equal(both[1:], both[:-1], out=new[1:])
+        both = both[new]
         token = both >> np.uint64(24)
         first = np.nonzero(np.r_[True, token[1:] != token[:-1]])[0] if len(token) else np.zeros(0, int)
         times = np.diff(np.r_[first, len(token)])
@@ -225,6 +233,22 @@ def _count(parts: int):
 _NEAR = "set_id BINARY, n BIGINT, picks INT, tokens BINARY"
 
 
+def _short(named: np.ndarray) -> bytes:
+    """Tokens and their bucket: four bytes of each, one more of each, then the buckets where they fit a byte."""
+    bucket = (named >> np.uint64(40)).astype(np.uint32)
+    wide = bool(len(bucket)) and int(bucket.max()) > 255
+    parts = [np.array([wide], np.uint8), named.astype(np.uint32), (named >> np.uint64(32)).astype(np.uint8)]
+    return b"".join(p.tobytes() for p in [*parts, bucket if wide else bucket.astype(np.uint8)])
+
+
+def _long(raw: bytes) -> np.ndarray:
+    wide = raw[0]
+    n = (len(raw) - 1) // (9 if wide else 6)
+    out = np.frombuffer(raw, np.uint8, n, 1 + 4 * n).astype(np.uint64) << np.uint64(32)
+    out |= np.frombuffer(raw, np.uint32, n, 1)
+    return out | np.frombuffer(raw, np.uint32 if wide else np.uint8, n, 1 + 5 * n).astype(np.uint64) << np.uint64(40)
+
+
 def _choose(percent: int):
     """All shared tokens of the sets of one part to those sets that have candidates."""
 
@@ -246,7 +270,7 @@ def _choose(percent: int):
                 _ids(ids[keep].reshape(-1, 2)),
                 pa.array(sizes[keep]),
                 pa.array(picks[keep].astype(np.int32)),
-                pa.array([named[edges[j] : edges[j + 1]].tobytes() for j in keep], pa.binary()),
+                pa.array([_short(named[edges[j] : edges[j + 1]]) for j in keep], pa.binary()),
             ],
             names=["set_id", "n", "picks", "tokens"],
         )
@@ -258,7 +282,7 @@ def _deal_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         ids = np.frombuffer(b"".join(batch.column("set_id").to_pylist()), np.uint64).reshape(-1, 2)
         picks = batch.column("picks").to_numpy()
-        tokens = [np.frombuffer(t, np.uint64)[:p] for t, p in zip(batch.column("tokens").to_pylist(), picks)]
+        tokens = [_long(t)[:p] for t, p in zip(batch.column("tokens").to_pylist(), picks)]
         flat = np.concatenate([np.zeros(0, np.uint64), *tokens])
         owner = np.repeat(np.arange(len(ids)), picks)
         parts = (flat >> np.uint64(40)).astype(np.int64)
@@ -361,7 +385,7 @@ def link(
 
 def _tile_sets(group: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     ids = np.frombuffer(b"".join(group.column("set_id").to_pylist()), np.uint64).reshape(-1, 2)
-    tokens = [np.sort(np.frombuffer(t, np.uint64)) for t in group.column("tokens").to_pylist()]
+    tokens = [np.sort(_long(t)) for t in group.column("tokens").to_pylist()]
     return ids, group.column("n").to_numpy(), tokens
 
 
@@ -431,10 +455,13 @@ def verified_links(near: DataFrame, groups: DataFrame, percent: int) -> DataFram
     if placed.filter("large").isEmpty():
         return links
 
-    # One member per class and tile: linked among each other, in as many tiles as they need.
+    # From here on only the large groups' arrays are read.
     big = placed.filter("large").select("set_id", "n", "root", "band", "block")
+    arrays = materialize(arrays.join(big.select("set_id"), "set_id"), "large-groups")
+
+    # One member per class and tile: linked among each other, in as many tiles as they need.
     heads = inside.select(F.col("b").alias("set_id")).distinct().join(big.select("set_id", "n", "root"), "set_id")
-    among = _blocks(["root"], heads, "block").join(arrays, "set_id")
+    among = materialize(_blocks(["root"], heads, "block"), "heads").join(arrays, "set_id")
     between = materialize(
         among.groupBy("root", "block").applyInArrow(_link_inside(percent), _EDGES).filter("a <> b"), "links-between"
     )
@@ -456,8 +483,9 @@ def verified_links(near: DataFrame, groups: DataFrame, percent: int) -> DataFram
     )
     pairs = materialize(pairs, "tile-pairs")
     keys = ["root", "oband", "oblock", "band", "block"]
-    left = outside.withColumnRenamed("band", "oband").join(pairs, ["root", "oband", "oblock"]).join(arrays, "set_id")
-    right = known.join(pairs, ["root", "band", "block"]).join(arrays, "set_id")
+    renamed = outside.withColumnRenamed("band", "oband")
+    left = materialize(renamed.join(pairs, ["root", "oband", "oblock"]), "left-tiles").join(arrays, "set_id")
+    right = materialize(known.join(pairs, ["root", "band", "block"]), "right-tiles").join(arrays, "set_id")
     # Both sides read the same table, so one gets columns of its own.
     right = right.select(*[F.col(c).alias(c) for c in right.columns])
     across = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_link_across(percent), _EDGES)
