@@ -111,7 +111,7 @@ def _documents(spark, sf_dir, last_only=False):
     return plans.with_bags(documents).withColumn("doc_no", F.col("doc_no").cast("bigint"))
 
 
-@query(
+_KV_ROWS_SQL = (
     WITH
     + """, entries AS (
       SELECT session, e.*, k FROM (SELECT session, k, unnest([
@@ -126,6 +126,9 @@ def _documents(spark, sf_dir, last_only=False):
            CAST(conf AS DOUBLE) AS key_confidence, CAST(conf AS DOUBLE) + 0.25 AS value_confidence FROM entries
     UNION ALL SELECT session, 1, 0, 'NAME', 'User', c_name, 99.5, 99.75 FROM base WHERE k % 11 = 0"""
 )
+
+
+@query(_KV_ROWS_SQL)
 def extract_kv(spark, sf_dir):
     bags = _documents(spark, sf_dir).select("session", "doc_no", "kv.*")
     zipped = F.arrays_zip("Type", "Key", "Value", "KeyConfidence", "ValueConfidence")
@@ -141,7 +144,7 @@ def extract_kv(spark, sf_dir):
     )
 
 
-@query(
+_ITEM_ROWS_SQL = (
     WITH
     + """SELECT session, CAST(j - 1 AS BIGINT) AS pos, item_text AS item,
          CASE WHEN bad_price THEN 0.0 ELSE price END AS price, quantity_text AS quantity,
@@ -149,6 +152,9 @@ def extract_kv(spark, sf_dir):
          CAST(NULL AS DOUBLE) AS quantity_confidence,
          bool_or(bad_price) OVER (PARTITION BY session) AS bad_price FROM items"""
 )
+
+
+@query(_ITEM_ROWS_SQL)
 def extract_lineitems(spark, sf_dir):
     bags = _documents(spark, sf_dir).select("session", "li.*")
     zipped = F.arrays_zip(
@@ -264,6 +270,54 @@ def envelope_json(spark, sf_dir):
     )
 
 
+_KV_TEXT_BAG = "STRUCT<Type: ARRAY<STRING>, Key: ARRAY<STRING>, Value: ARRAY<STRING>, KeyConfidence: ARRAY<STRING>, ValueConfidence: ARRAY<STRING>>"
+_ITEM_TEXT_BAG = "STRUCT<items: ARRAY<STRING>, price: ARRAY<STRING>, quantity: ARRAY<STRING>, items_confidence: ARRAY<STRING>, price_confidence: ARRAY<STRING>, quantity_confidence: ARRAY<STRING>>"
+
+
+def _opened(made, keep, column, bag, names):
+    """A JSON bag of parallel lists as rows, everything as text; ``""`` stands for a missing confidence."""
+    opened = made.select(*keep, F.from_json(column, bag).alias("b"))
+    zipped = F.arrays_zip(*[F.col(f"b.{n}").alias(n) for n in names])
+    rows = opened.select(*keep, F.posexplode(zipped).alias("pos", "e"))
+    return rows.select(*keep, F.col("pos").cast("bigint").alias("pos"), *[F.col("e")[n].alias(n) for n in names])
+
+
+@query(_KV_ROWS_SQL)
+def ocr_to_envelope_kv(spark, sf_dir):
+    """Every entry of the key/value bags, read back from the envelope's JSON."""
+    made = _envelopes(spark, sf_dir).withColumn("doc_no", F.col("doc_no").cast("bigint"))
+    names = ["Type", "Key", "Value", "KeyConfidence", "ValueConfidence"]
+    rows = _opened(made, ["session", "doc_no"], "kv_data", _KV_TEXT_BAG, names)
+    return rows.select(
+        "session",
+        "doc_no",
+        "pos",
+        F.col("Type").alias("type"),
+        F.col("Key").alias("key"),
+        F.col("Value").alias("value"),
+        F.col("KeyConfidence").try_cast("double").alias("key_confidence"),
+        F.col("ValueConfidence").try_cast("double").alias("value_confidence"),
+    )
+
+
+@query(_ITEM_ROWS_SQL)
+def ocr_to_envelope_items(spark, sf_dir):
+    """Every line item, read back from the envelope's JSON."""
+    names = ["items", "price", "quantity", "items_confidence", "price_confidence", "quantity_confidence"]
+    rows = _opened(_envelopes(spark, sf_dir), ["session", "bad_price"], "lineitems", _ITEM_TEXT_BAG, names)
+    return rows.select(
+        "session",
+        "pos",
+        F.col("items").alias("item"),
+        F.col("price").try_cast("double").alias("price"),
+        "quantity",
+        F.col("items_confidence").try_cast("double").alias("item_confidence"),
+        F.col("price_confidence").try_cast("double").alias("price_confidence"),
+        F.col("quantity_confidence").try_cast("double").alias("quantity_confidence"),
+        "bad_price",
+    )
+
+
 # --- files and tables -------------------------------------------------------------------------
 
 
@@ -470,6 +524,43 @@ def enrich_envelopes(spark, sf_dir):
     )
 
 
+@query(
+    WITH
+    + """, entries AS (SELECT path, k, unnest([
+        {'n': 0, 'type': 'NAME', 'key': 'User', 'value': c_name},
+        {'n': 1, 'type': 'DATE', 'key': '', 'value': date_text},
+        {'n': 2, 'type': 'ADDRESS', 'key': 'other', 'value': address},
+        {'n': 3, 'type': 'OTHER', 'key': ' Mobile: ', 'value': mobile},
+        {'n': 4, 'type': 'NAME', 'key': 'User', 'value': CASE WHEN k % 7 = 0 THEN 'Guest' END},
+        {'n': 8, 'type': 'tenant_ids', 'key': 'tenant_ids', 'value': tenant},
+        {'n': 9, 'type': 'session_ids', 'key': 'session_ids', 'value': session},
+        {'n': 10, 'type': 'store_ids', 'key': 'store_ids', 'value': store}]) AS e FROM paths
+      WHERE k % 17 <> 0 AND k % 29 <> 7 AND k % 23 <> 5 AND k % 19 <> 3)
+    SELECT path, CAST(row_number() OVER (PARTITION BY path ORDER BY e.n) - 1 + CASE WHEN e.n > 4 THEN 3 ELSE 0 END AS BIGINT) AS pos,
+           e.type AS type, e.key AS key, e.value AS value FROM entries WHERE e.value IS NOT NULL"""
+)
+def enrich_envelopes_kv(spark, sf_dir):
+    """Every entry of the enriched bags but the item lists and the total."""
+    made = plans.enrich_envelopes(derive.envelopes(spark, sf_dir))
+    rows = _opened(made, ["path"], "kv_data", _KV_TEXT_BAG, ["Type", "Key", "Value"])
+    kept = rows.filter(~F.col("Type").isin("items", "price", "quantity", "total_amount"))
+    return kept.select("path", "pos", F.col("Type").alias("type"), F.col("Key").alias("key"), F.col("Value").alias("value"))
+
+
+@query(
+    WITH
+    + """SELECT path, CAST(j - 1 AS BIGINT) AS pos, item_text AS item, CASE WHEN bad_price THEN 0.0 ELSE price END AS price,
+         quantity_text AS quantity FROM items JOIN paths USING (session)
+         WHERE paths.k % 17 <> 0 AND paths.k % 29 <> 7 AND paths.k % 23 <> 5 AND paths.k % 19 <> 3"""
+)
+def enrich_envelopes_items(spark, sf_dir):
+    """Every line item of the enriched envelopes."""
+    made = plans.enrich_envelopes(derive.envelopes(spark, sf_dir))
+    rows = _opened(made, ["path"], "lineitems", _ITEM_TEXT_BAG, ["items", "price", "quantity"])
+    price = F.col("price").try_cast("double").alias("price")
+    return rows.select("path", "pos", F.col("items").alias("item"), price, "quantity")
+
+
 _CHAIN_SQL = (
     _TOTALS_SQL
     + """SELECT CAST(d.total AS DOUBLE) AS "TOTAL_AMOUNT", b.store AS "STOREID", b.tenant AS "TENANTIDS",
