@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm.common import table
+from tillroll.llm.common import materialize, table
 
 MAX_TRAINING_DOCS = 20_000
 MAX_ARCS = 4_000
@@ -244,7 +244,9 @@ def learn_arcs(training: DataFrame, most: int = MAX_ARCS) -> dict[str, float]:
     if not n_toxic or not n_clean:
         return {}
     counted = training.select("text", "label").mapInArrow(_count_arcs, _COUNTS)
-    summed = counted.groupBy("arc").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")).filter("a >= 3")
+    summed = materialize(
+        counted.groupBy("arc").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")).filter("a >= 3"), "arcs"
+    )
     a, b = F.col("a"), F.col("b")
     share = (a + b) / F.lit(n_toxic + n_clean)
 
