@@ -212,13 +212,17 @@ def _count(parts: int):
         new = np.ones(len(both), bool)
         np.not_equal(both[1:], both[:-1], out=new[1:])
         both = both[new]
-        token = both >> np.uint64(24)
+        # Most tokens are in one set; only the others are kept before anything is counted.
+        again = (both[1:] ^ both[:-1]) < np.uint64(1 << 24)
+        shared = np.zeros(len(both), bool)
+        shared[1:] = again
+        shared[:-1] |= again
+        both = both[shared]
+        token, who = both >> np.uint64(24), (both & np.uint64((1 << 24) - 1)).astype(np.int64)
         first = np.nonzero(np.r_[True, token[1:] != token[:-1]])[0] if len(token) else np.zeros(0, int)
         times = np.diff(np.r_[first, len(token)])
         in_sets = np.repeat(times, times)
-        shared = in_sets > 1
-        token, who = token[shared], (both[shared] & np.uint64((1 << 24) - 1)).astype(np.int64)
-        marks = np.minimum(255, np.round(8 * np.log2(in_sets[shared]))).astype(np.uint8)
+        marks = np.minimum(255, np.round(8 * np.log2(in_sets))).astype(np.uint8)
         order = np.argsort(who, kind="stable")
         token, who, marks = token[order], who[order], marks[order]
         target = (ids[who, 0] % np.uint64(parts)).astype(np.int64)
