@@ -231,7 +231,7 @@ def _count_arcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, label in zip(batch.column("text"), batch.column("label").to_pylist()):
             words = {t[1] for t in _TOKENS.finditer((text.as_py() or "").lower()) if t[1]}
             counts[label].update({a for w in words for a in arcs_of(w)})
-            if len(counts[0]) + len(counts[1]) > 400_000:
+            if len(counts[0]) + len(counts[1]) > 150_000:
                 yield emptied()
     yield emptied()
 
