@@ -88,3 +88,30 @@ def test_long_rows_are_cut_at_separators(monkeypatch):
     whole = S.text_words(text).tolist()
     monkeypatch.setattr(S._WORDS, "PIECE", 64, raising=False)
     assert S.text_words(text).tolist() == whole
+
+
+@pytest.mark.parametrize("most", [S.BROADCAST_BYTES, 0])
+def test_verbatim_items_of_many_repetitions(spark, most):
+    items = ["yes " * 11, "la la land of plenty " * 12, "no " * 200, "a b " * 40 + "unlike words to end on", "one two three " * 2]
+    docs = [f"before it {t} and after" for t in items] + ["yes no " * 90, "no " * 99, "no " * 100, items[1] * 3]
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id BIGINT, text STRING")
+    b = spark.createDataFrame(list(enumerate(items)), "item_id BIGINT, text STRING")
+    want = {}
+    for k, t in enumerate(docs):
+        for j, i in enumerate(items):
+            found = brute(t, i)
+            if found[0] >= S.COVERAGE:
+                want[k, j] = (round(found[0], 9), *found[1:])
+    assert {(k, k) for k in range(5)} <= set(want)
+    benchmark = S.Benchmark(b, broadcast_bytes=most)
+    got = {(r.doc_id, r.item_id): (round(r.coverage, 9), r.covered_words, r.n_tiles) for r in benchmark.matches(d).collect()}
+    assert got == want
+    assert {r.doc_id for r in benchmark.clean(d).collect()} == set(range(len(docs))) - {k for k, _ in want}
+
+
+def test_tiles_in_small_steps(monkeypatch):
+    docs, items = cases()
+    pairs = [(S.text_words(t), S.text_words(i)) for t in docs for i in items if i]
+    whole = [S.tiles(d, i, 5) for d, i in pairs]
+    monkeypatch.setattr(S, "PAIRS", 3)
+    assert [S.tiles(d, i, 5) for d, i in pairs] == whole and any(whole)

@@ -38,6 +38,8 @@ LEAST = 5
 COVERAGE = 0.5
 # Bytes of item texts whose seeds may go to every task.
 BROADCAST_BYTES = 4 << 20
+# Pairs of equal seeds looked at in one go; texts that repeat themselves have very many.
+PAIRS = 1 << 22
 
 _NOT_WORD = re.compile(r"[^\w\x00-\x7f]+")
 _WORDS = WordHashes(separators(lambda b: b >= 128 or chr(b).isalnum() or b == ord("_")))
@@ -66,22 +68,39 @@ def tiles(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
     order = np.argsort(right, kind="stable")
     ranked = right[order]
     low, high = np.searchsorted(ranked, left, "left"), np.searchsorted(ranked, left, "right")
-    d = np.repeat(np.arange(len(left)), high - low)
-    if not len(d):
+    before = np.r_[0, np.cumsum(high - low)]
+    if not before[-1]:
         return []
-    at = np.arange(len(d)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
-    i = order[np.repeat(low, high - low) + at]
-    line = np.lexsort((d, d - i))
+    heads, tails, s = [], [], 0
+    while s < len(left):
+        # Of the pairs only the first and the last of each maximal match are kept.
+        e = max(s + 1, int(np.searchsorted(before, before[s] + PAIRS, "right")) - 1)
+        count = high[s:e] - low[s:e]
+        d = np.repeat(np.arange(s, e), count)
+        i = order[np.repeat(low[s:e] - (before[s:e] - before[s]), count) + np.arange(len(d))]
+        new = (d == 0) | (i == 0) | (left[d - 1] != right[i - 1])
+        after = (d + 1 == len(left)) | (i + 1 == len(right))
+        after |= left[(d + 1) % len(left)] != right[(i + 1) % len(right)]
+        heads.append((d[new], i[new]))
+        tails.append((d[after], i[after]))
+        s = e
+    (d, i), (d_end, i_end) = (tuple(map(np.concatenate, zip(*p))) for p in (heads, tails))
+    line, line_end = np.lexsort((d, d - i)), np.lexsort((d_end, d_end - i_end))
     d, i = d[line], i[line]
-    new = np.r_[True, (np.diff(d) != 1) | (np.diff(d - i) != 0)]
-    first = np.nonzero(new)[0]
-    sizes = np.diff(np.r_[first, len(d)]) + least - 1
-    waiting = [(-int(n), int(a), int(b)) for n, a, b in zip(sizes, d[first], i[first])]
-    heapq.heapify(waiting)
+    sizes = d_end[line_end] - d + least
+    line = np.lexsort((i, d, -sizes))
+    d, i, sizes = d[line], i[line], sizes[line]
+    waiting: list[tuple[int, int, int]] = []  # what is left of matches that were cut back
+    k = 0
     in_doc, in_item = np.zeros(len(doc), bool), np.zeros(len(item), bool)
     out, free = [], len(item)
-    while waiting and free >= least:
-        n, a, b = heapq.heappop(waiting)
+    while (waiting or k < len(d)) and free >= least:
+        whole = (-int(sizes[k]), int(d[k]), int(i[k])) if k < len(d) else None
+        if waiting and (whole is None or waiting[0] < whole):
+            n, a, b = heapq.heappop(waiting)
+        else:
+            n, a, b = whole
+            k += 1
         taken = in_doc[a : a - n] | in_item[b : b - n]
         if not taken.any():
             in_doc[a : a - n] = in_item[b : b - n] = True
@@ -103,24 +122,26 @@ class Items:
         kept = [(k, w) for k, w in zip(keys, words) if len(w)]
         self.keys, self.words = [k for k, _ in kept], [w for _, w in kept]
         self.least = [min(least, len(w)) for w in self.words]
-        self.seeds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        # By run length: seed, item, and at how many places of the item the seed stands.
+        self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for n in sorted(set(self.least)):
             mine = [j for j, m in enumerate(self.least) if m == n]
-            grams = [np.unique(_WORDS.grams(self.words[j], n)) for j in mine]
-            flat, owner = np.concatenate(grams), np.repeat(mine, [len(g) for g in grams])
+            grams = [np.unique(_WORDS.grams(self.words[j], n), return_counts=True) for j in mine]
+            flat, owner = np.concatenate([g for g, _ in grams]), np.repeat(mine, [len(g) for g, _ in grams])
             order = np.argsort(flat, kind="stable")
-            self.seeds[n] = flat[order], owner[order]
+            self.seeds[n] = flat[order], owner[order], np.concatenate([t for _, t in grams])[order]
 
     def candidates(self, doc: np.ndarray) -> list[int]:
-        """Items of which enough different seeds are there: n seeds cover at most n * least words."""
+        """Items of which enough places hold a seed that is there: n places cover at most n * least words."""
         out: list[int] = []
-        for n, (seeds, owner) in self.seeds.items():
+        for n, (seeds, owner, places) in self.seeds.items():
             grams = np.unique(_WORDS.grams(doc, n))
             low, high = np.searchsorted(seeds, grams, "left"), np.searchsorted(seeds, grams, "right")
             hit = np.nonzero(high > low)[0]
             if len(hit):
                 found = np.concatenate([owner[low[h] : high[h]] for h in hit])
-                items, times = np.unique(found, return_counts=True)
+                items, nth = np.unique(found, return_inverse=True)
+                times = np.bincount(nth, np.concatenate([places[low[h] : high[h]] for h in hit]))
                 out += [int(j) for j, t in zip(items, times) if t * n >= self.coverage * len(self.words[j])]
         return sorted(out)
 
@@ -138,7 +159,7 @@ class Items:
         data, at = _buffer(texts.to_pylist())
         for first, words, offsets in _WORDS.rows(data, at):
             any_hit = np.zeros(len(words) + 1, np.int64)
-            for n, (seeds, _) in self.seeds.items():
+            for n, (seeds, _, _) in self.seeds.items():
                 grams = _WORDS.grams(words, n)
                 near = np.searchsorted(seeds, grams)
                 any_hit[1 : len(grams) + 1] += seeds[np.minimum(near, len(seeds) - 1)] == grams
@@ -188,7 +209,7 @@ def _keep_clean(items: Items, text: str):
 
 
 def _seed_rows(least: int):
-    """(id, text) to distinct (seed, n, id, words) for the run lengths that items may have."""
+    """(id, text) to distinct (seed, n, id, words), with the number of its places, for the run lengths that items may have."""
 
     def run(batches: Iterator[pa.RecordBatch], sizes: range | None = None) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,7 +219,7 @@ def _seed_rows(least: int):
                 for r in range(len(offsets) - 1):
                     mine = words[offsets[r] : offsets[r + 1]]
                     for n in sizes or [min(least, len(mine))]:
-                        grams = np.unique(_WORDS.grams(mine, n)) if n else np.zeros(0, np.uint64)
+                        grams, places = np.unique(_WORDS.grams(mine, n) if n else np.zeros(0, np.uint64), return_counts=True)
                         if len(grams):
                             yield pa.RecordBatch.from_arrays(
                                 [
@@ -206,14 +227,15 @@ def _seed_rows(least: int):
                                     pa.array(np.full(len(grams), n, np.int32)),
                                     pa.array([ids[first + r].as_py()] * len(grams), pa.string()),
                                     pa.array(np.full(len(grams), len(mine), np.int32)),
+                                    pa.array(places.astype(np.int32)),
                                 ],
-                                names=["seed", "n", "id", "words"],
+                                names=["seed", "n", "id", "words", "places"],
                             )
 
     return run
 
 
-_SEEDS = "seed BIGINT, n INT, id STRING, words INT"
+_SEEDS = "seed BIGINT, n INT, id STRING, words INT, places INT"
 
 
 def _tile_pairs(least: int, coverage: float):
@@ -241,11 +263,11 @@ def _found_by_shuffle(rows: DataFrame, items: DataFrame, least: int, coverage: f
     texts = rows.groupBy("text_id").agg(F.first("text").alias("text"))
     lengths = [r.n for r in seeds.select("n").distinct().collect()]  # at most ``least`` numbers
     run = _seed_rows(least)
-    of_docs = texts.select(F.col("text_id").alias("id"), "text").mapInArrow(lambda b: run(b, lengths), _SEEDS)
+    of_docs = texts.select(F.col("text_id").alias("id"), "text").mapInArrow(lambda b: run(b, lengths), _SEEDS).drop("words", "places")
     pairs = (
         of_docs.join(seeds, ["seed", "n"])
         .groupBy(F.col("id").alias("text_id"), "item", "n", "item_words")
-        .agg(F.count(F.lit(1)).alias("shared"))
+        .agg(F.sum("places").alias("shared"))
         .filter(F.col("shared") * F.col("n") >= F.lit(coverage) * F.col("item_words"))
         .select("text_id", "item")
     )
