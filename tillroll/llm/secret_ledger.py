@@ -8,8 +8,9 @@ run scans only pairs of blob and rule version that the ledger lacks, appends
 them, and joins the findings of all blobs back to all paths.
 
 Defined results: a null text is an empty one; an empty table gives an empty
-result and an empty ledger batch; repeated rows each get their findings; extra
-columns are ignored. Texts are scanned whole; offsets are code points, ends
+result and an empty ledger batch; repeated rows each get their findings, also
+under a null path or with several texts under one path; extra columns are
+ignored. Texts are scanned whole; offsets are code points, ends
 exclusive.
 """
 
@@ -125,11 +126,10 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
 def unseen_blobs(
     versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULES, path: str = "path", text: str = "text"
 ) -> DataFrame:
-    """blob, text and seen rules of each blob that some rule version has not scanned."""
+    """blob, text and seen rules of each blob that some rule version has not scanned, one row per blob."""
     spark = versions.sparkSession
-    named = with_blob(versions.select(F.col(path).alias("path"), F.col(text).alias("text")))
-    # One holder per blob; only ids meet here, so a blob under very many paths merges in the map tasks.
-    holders = named.groupBy("blob").agg(F.min("path").alias("path"))
+    # One text per blob, whatever paths it lies under; equal texts merge in the map tasks already.
+    texts = with_blob(versions.select(whole_text(text).alias("text"))).groupBy("blob").agg(F.first("text").alias("text"))
     done = (
         read_ledger(spark, ledger)
         .select("blob", F.explode("rules").alias("rule"))
@@ -137,17 +137,16 @@ def unseen_blobs(
         .groupBy("blob")
         .agg(F.collect_set("rule").alias("seen"))  # at most one entry per rule version
     )
-    todo = holders.join(done, "blob", "left").filter(
+    todo = texts.join(done, "blob", "left").filter(
         F.col("seen").isNull() | (F.size("seen") < len(rules))
     )
-    texts = versions.select(F.col(path).alias("path"), whole_text(text).alias("text"))
-    return texts.join(todo, "path").select("blob", "text", "seen")
+    return todo.select("blob", "text", "seen")
 
 
 def scan_unseen(
     versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULES, path: str = "path", text: str = "text"
 ) -> None:
-    """Scan what the ledger lacks and append it. ``path`` has to be unique and not null."""
+    """Scan what the ledger lacks and append it. Paths may be null or repeated; only texts count here."""
     todo = unseen_blobs(versions, ledger, rules, path, text)
     todo.mapInArrow(_scanner(rules), LEDGER).write.mode("append").parquet(ledger)
 
