@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillroll.llm import shingle_join as S
@@ -104,3 +105,32 @@ def test_stored_tokens_round_trip():
         named = random_.integers(0, 1 << 40, 50, dtype=np.uint64) | (random_.integers(0, buckets, 50, dtype=np.uint64) << np.uint64(40))
         assert S._long(S._short(named)).tolist() == named.tolist()
     assert S._long(S._short(np.zeros(0, np.uint64))).tolist() == []
+
+
+def test_bucket_of_more_than_24_bits_of_sets():
+    n = (1 << 24) + 5
+    ids = np.stack([np.zeros(n, np.uint64), np.arange(n, dtype=np.uint64)], 1)
+    tokens = np.arange(n, dtype=np.uint64) * np.uint64(2)
+    tokens[-5:] = 1
+    row = S._packed_row(0, ids, np.full(n, 9), np.ones(n), tokens, np.zeros(n))
+    out = S._count(1)(pa.Table.from_batches([S._packed_batch([row])]))
+    got, _, owner, shared, marks = S._unpacked(out)
+    assert got[owner, 1].tolist() == list(range(n - 5, n)) and set(shared.tolist()) == {1} and set(marks.tolist()) == {19}
+
+
+def test_no_group_grows_with_a_hot_token(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "HOT_SETS", 20)
+    monkeypatch.setattr(S, "BUCKET_TOKENS", 1000)
+    seen, plain = [], S._hot_tokens
+    monkeypatch.setattr(S, "_hot_tokens", lambda *a: seen.append(plain(*a)) or seen[-1])
+    pick = random.Random(3)
+    passage = [f"p{i}" for i in range(40)]
+    texts = cases(3) + [" ".join(passage + [f"u{k}x{i}" for i in range(pick.choice((1, 3, 9, 30)))]) for k in range(200)]
+    assert run(spark, tmp_path, texts) == brute(texts)
+    hot, marks, salts = seen[0]
+    assert len(hot) >= 36 and salts > 1
+    batch = pa.RecordBatch.from_arrays([pa.array([texts[-1], texts[-2], texts[-3], texts[-4]])], names=["text"])
+    named = np.concatenate([b.column("named").to_numpy() for b in S._occurrences(5, 1)(iter([batch]))]).view(np.uint64)
+    shared = np.sort(named)
+    dealt = pa.Table.from_batches(list(S._deal(5, 1, shared, np.ones(len(shared), np.uint8), 4)(iter([batch]))))
+    assert set(dealt.column("part").to_pylist()) <= {1, 2, 3, 4} and dealt.num_rows > 1

@@ -5,13 +5,16 @@ are one class from the start. Then:
 
 1. Tokens are dealt into buckets, packed many to a row. A bucket counts in how
    many sets each token is and sends back those that are in two or more; the
-   others cannot be part of any intersection.
+   others cannot be part of any intersection. Tokens that very many sets hold,
+   as a sample tells, are shared for certain: their occurrences are dealt by set
+   as well, so no group grows with a token.
 2. In the order rare tokens first, two sets that reach the similarity share one
    of the first ``n - ceil(t * n) + 1`` tokens (prefix filter). Unshared tokens
    come first, so a set of mostly unshared tokens has no candidates at all,
    whatever passages it has in common with others.
 3. Sets that share a prefix token are joined into candidate groups. No pairs are
-   emitted: each bucket sends a spanning forest of its own.
+   emitted: each bucket sends a spanning forest of its own, and a set with a hot
+   prefix token is linked with the token itself.
 4. A candidate group is cut into tiles of bounded size: by size band, in which
    sizes differ by at most the similarity, and by hash within a band. Inside a
    tile the bit counts of hashed bitmap signatures bound each overlap from above;
@@ -48,6 +51,9 @@ from tillroll.llm.components import connected
 WORDS = 5
 PERCENT = 75
 BUCKET_TOKENS = 8_000_000
+# A token in about so many sets is hot. Looked for in one of ``SAMPLE`` texts; results do not depend on what is found.
+HOT_SETS = 500_000
+SAMPLE = 1024
 # A tile holds at most about so many sets and tokens.
 TILE_SETS = 256
 TILE_TOKENS = 2_000_000
@@ -179,32 +185,85 @@ def _by_part(parts, ids, sizes, owner, tokens, marks) -> Iterator[tuple]:
             yield _packed_row(parts[a], ids[who], sizes[who], counts, tokens[mine], marks[mine])
 
 
-def _deal(k: int, buckets: int):
-    """Texts to the tokens of their distinct sets, dealt by token."""
+def _distinct_sets(column: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Tokens, the owner of each, sizes and ids, of the distinct sets of runs of rows."""
+    for _, tokens, ends, ids in _sets_of(column, k):
+        _, first = np.unique(ids, axis=0, return_index=True)
+        kept = np.zeros(len(ids), bool)
+        kept[first] = True
+        owner = np.repeat(np.arange(len(ids)), np.diff(ends))
+        mine = kept[owner]
+        yield tokens[mine], owner[mine], np.diff(ends), ids
+
+
+def _buckets_of(tokens: np.ndarray, buckets: int) -> np.ndarray:
+    return (tokens >> np.uint64(40)) % np.uint64(buckets)
+
+
+def _places_in(sorted_: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the values stand in an ascending array, and whether they do."""
+    if not len(sorted_):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)
+    return at, sorted_[at] == values
+
+
+def _occurrences(k: int, buckets: int):
+    """Texts to how many of their sets hold a token; tokens with their bucket, as ``named`` elsewhere."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, tokens, ends, ids in _sets_of(batch.column("text"), k):
-                _, first = np.unique(ids, axis=0, return_index=True)
-                kept = np.zeros(len(ids), bool)
-                kept[first] = True
-                owner = np.repeat(np.arange(len(ids)), np.diff(ends))
-                mine = kept[owner]
-                tokens, owner = tokens[mine], owner[mine]
-                parts = (tokens >> np.uint64(40)) % np.uint64(buckets)
-                marks = np.zeros(len(tokens), np.uint8)
-                yield _packed_batch(list(_by_part(parts, ids, np.diff(ends), owner, tokens & _LOW40, marks)))
+            for tokens, _, _, _ in _distinct_sets(batch.column("text"), k):
+                named, times = np.unique((tokens & _LOW40) | (_buckets_of(tokens, buckets) << np.uint64(40)), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(named.view(np.int64)), pa.array(times)], names=["named", "times"])
 
     return run
 
 
-def _count(parts: int):
-    """A bucket's tokens to those in several sets, marked by how many, dealt by set."""
+def _hot_tokens(texts: DataFrame, n_rows: int, k: int, buckets: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hot tokens, ascending, the mark of each, and in how many groups each bucket's occurrences of them go."""
+    hot: list = []
+    if n_rows >= HOT_SETS:
+        sample = max(1, min(SAMPLE, HOT_SETS // 500))
+        some = texts.filter(F.pmod(F.xxhash64("text"), F.lit(sample)) == 0).distinct()
+        times = some.mapInArrow(_occurrences(k, buckets), "named BIGINT, times BIGINT").groupBy("named").agg(F.sum("times").alias("times"))
+        # At most one for every HOT_SETS tokens of the corpus.
+        hot = times.select("named", (F.col("times") * sample).alias("times")).filter(F.col("times") >= HOT_SETS).collect()
+    named = np.array([r.named for r in hot], np.int64).view(np.uint64)
+    times = np.array([r.times for r in hot], np.int64)
+    order = np.argsort(named)
+    named, times = named[order], times[order]
+    marks = np.minimum(255, np.round(8 * np.log2(np.maximum(times, 1)))).astype(np.uint8)
+    most = int(np.bincount((named >> np.uint64(40)).astype(np.int64), times).max()) if len(named) else 0
+    return named, marks, -(-2 * most // BUCKET_TOKENS)
 
-    def run(group: pa.Table) -> pa.Table:
-        bucket = group.column("part")[0].as_py()
-        ids, sizes, owner, both, _ = _unpacked(group)
-        # A token in the upper 40 bits, its set below; a bucket has far fewer than 2**24 sets.
+
+def _deal(k: int, buckets: int, hot: np.ndarray, hot_marks: np.ndarray, salts: int):
+    """Texts to the tokens of their distinct sets, dealt by token; hot ones, marked already, by bucket and set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for tokens, owner, sizes, ids in _distinct_sets(batch.column("text"), k):
+                parts = _buckets_of(tokens, buckets)
+                tokens = tokens & _LOW40
+                marks = np.zeros(len(tokens), np.uint8)
+                if len(hot):
+                    at, is_hot = _places_in(hot, tokens | (parts << np.uint64(40)))
+                    marks[is_hot] = hot_marks[at[is_hot]]
+                    salt = ids[owner[is_hot], 1] % np.uint64(salts)
+                    parts[is_hot] += np.uint64(buckets) * (salt + np.uint64(1))
+                yield _packed_batch(list(_by_part(parts, ids, sizes, owner, tokens, marks)))
+
+    return run
+
+
+def _distinct_pairs(pair: list[np.ndarray], n_sets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (token, set) by token and set, without the tokens of one set only; takes the arrays out of ``pair``."""
+    tokens, owner = pair.pop(), pair.pop()
+    if n_sets <= 1 << 24:
+        # A token in the upper 40 bits, its set below: one array to sort.
+        both = tokens
+        del tokens
         both <<= np.uint64(24)
         np.bitwise_or(both, owner.astype(np.uint32), out=both)
         del owner
@@ -218,12 +277,42 @@ def _count(parts: int):
         shared[1:] = again
         shared[:-1] |= again
         both = both[shared]
-        token, who = both >> np.uint64(24), (both & np.uint64((1 << 24) - 1)).astype(np.int64)
-        first = np.nonzero(np.r_[True, token[1:] != token[:-1]])[0] if len(token) else np.zeros(0, int)
-        times = np.diff(np.r_[first, len(token)])
-        in_sets = np.repeat(times, times)
-        marks = np.minimum(255, np.round(8 * np.log2(in_sets))).astype(np.uint8)
-        order = np.argsort(who, kind="stable")
+        return both >> np.uint64(24), (both & np.uint64((1 << 24) - 1)).astype(np.int64)
+    order = np.lexsort((owner, tokens))
+    tokens, owner = tokens[order], owner[order]
+    new = np.ones(len(tokens), bool)
+    new[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
+    tokens, owner = tokens[new], owner[new]
+    again = tokens[1:] == tokens[:-1]
+    shared = np.zeros(len(tokens), bool)
+    shared[1:] = again
+    shared[:-1] |= again
+    return tokens[shared], owner[shared].astype(np.int64)
+
+
+def _count(parts: int):
+    """A bucket's tokens to those in several sets, marked by how many, dealt by set."""
+
+    def run(group: pa.Table) -> pa.Table:
+        part = group.column("part")[0].as_py()
+        bucket = part % parts
+        ids, sizes, *pair, marks = _unpacked(group)
+        if part < parts:
+            token, who = _distinct_pairs(pair, len(ids))
+            first = np.nonzero(np.r_[True, token[1:] != token[:-1]])[0] if len(token) else np.zeros(0, int)
+            times = np.diff(np.r_[first, len(token)])
+            in_sets = np.repeat(times, times)
+            marks = np.minimum(255, np.round(8 * np.log2(in_sets))).astype(np.uint8)
+            order = np.argsort(who, kind="stable")
+        else:
+            # Hot tokens have their marks; a set sent by several batches counts once.
+            owner, tokens = pair
+            order = np.lexsort((tokens, owner))
+            token, who = tokens[order], owner[order].astype(np.int64)
+            new = np.ones(len(token), bool)
+            new[1:] = (token[1:] != token[:-1]) | (who[1:] != who[:-1])
+            token, who, marks = token[new], who[new], marks[order][new]
+            order = np.arange(len(token))
         token, who, marks = token[order], who[order], marks[order]
         target = (ids[who, 0] % np.uint64(parts)).astype(np.int64)
         rows = [(t, s, n, c, lo, hi, m, bucket) for t, s, n, c, lo, hi, m in _by_part(target, ids, sizes, who, token, marks)]
@@ -282,16 +371,40 @@ def _choose(percent: int):
     return run
 
 
-def _deal_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = np.frombuffer(b"".join(batch.column("set_id").to_pylist()), np.uint64).reshape(-1, 2)
-        picks = batch.column("picks").to_numpy()
-        tokens = [_long(t)[:p] for t, p in zip(batch.column("tokens").to_pylist(), picks)]
-        flat = np.concatenate([np.zeros(0, np.uint64), *tokens])
-        owner = np.repeat(np.arange(len(ids)), picks)
-        parts = (flat >> np.uint64(40)).astype(np.int64)
-        marks = np.zeros(len(flat), np.uint8)
-        yield _packed_batch(list(_by_part(parts, ids, picks, owner, flat & _LOW40, marks)))
+def _prefixes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids and numbers of picked tokens of the sets, the picked tokens with their bucket, and the owner of each."""
+    ids = np.frombuffer(b"".join(batch.column("set_id").to_pylist()), np.uint64).reshape(-1, 2)
+    picks = batch.column("picks").to_numpy()
+    tokens = [_long(t)[:p] for t, p in zip(batch.column("tokens").to_pylist(), picks)]
+    return ids, picks, np.concatenate([np.zeros(0, np.uint64), *tokens]), np.repeat(np.arange(len(ids)), picks)
+
+
+def _deal_prefixes(hot: np.ndarray):
+    """Picked tokens dealt by bucket, without the hot ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, picks, flat, owner = _prefixes(batch)
+            cold = ~_places_in(hot, flat)[1]
+            flat, owner = flat[cold], owner[cold]
+            parts = (flat >> np.uint64(40)).astype(np.int64)
+            marks = np.zeros(len(flat), np.uint8)
+            yield _packed_batch(list(_by_part(parts, ids, picks, owner, flat & _LOW40, marks)))
+
+    return run
+
+
+def _hot_edges(hot: np.ndarray):
+    """Each set with the hot tokens among its picked ones; a token's id looks like a set's and is no set's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, _, flat, owner = _prefixes(batch)
+            is_hot = _places_in(hot, flat)[1]
+            tokens = np.stack([mixed(flat[is_hot]), mixed(~flat[is_hot])], 1)
+            yield pa.RecordBatch.from_arrays([_ids(tokens), _ids(ids[owner[is_hot]].reshape(-1, 2))], names=["a", "b"])
+
+    return run
 
 
 class Forest:
@@ -507,13 +620,16 @@ def similar_classes(
     rows = docs.select(F.col(key).alias("key"), F.sha2(whole, 256).alias("text_id"), whole.alias("text"))
     kind = docs.schema[key].dataType.simpleString()
     described = materialize(rows.mapInArrow(_describe(words), f"key {kind}, text_id STRING, n BIGINT, set_id BINARY"), "described")
-    total = described.agg(F.sum("n").alias("n")).first().n or 0
-    buckets = max(1, -(-total // BUCKET_TOKENS))
+    facts = described.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    buckets = max(1, -(-(facts.n or 0) // BUCKET_TOKENS))
+    hot, hot_marks, salts = _hot_tokens(rows.select("text"), facts.rows, words, buckets)
 
-    dealt = rows.select("text").mapInArrow(_deal(words, buckets), _PACKED)
+    dealt = rows.select("text").mapInArrow(_deal(words, buckets, hot, hot_marks, salts), _PACKED)
     counted = dealt.groupBy("part").applyInArrow(_count(buckets), _PACKED + ", bucket INT")
     near = materialize(counted.groupBy("part").applyInArrow(_choose(percent), _NEAR), "near")
-    edges = near.mapInArrow(_deal_prefixes, _PACKED).groupBy("part").applyInArrow(_candidates, _EDGES)
+    edges = near.mapInArrow(_deal_prefixes(hot), _PACKED).groupBy("part").applyInArrow(_candidates, _EDGES)
+    if len(hot):
+        edges = edges.unionAll(near.mapInArrow(_hot_edges(hot), _EDGES))
     groups = materialize(connected(edges), "candidate-groups")
     links = verified_links(near, groups, percent)
     return described, materialize(connected(links).withColumnRenamed("a", "set_id"), "set-classes")
