@@ -98,3 +98,31 @@ def test_native(spark):
     docs = spark.createDataFrame([(1, "x@y.example.com")], "doc_id BIGINT, text STRING")
     plan = S.masked(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def entities(spark, kind, norms):
+    return spark.createDataFrame([(kind, n) for n in norms], "kind STRING, norm STRING")
+
+
+def distinct(spark, kind, norms):
+    got = S.distinct_surrogates(entities(spark, kind, norms), "k").collect()
+    new = [r.surrogate for r in got]
+    assert sorted(r.norm for r in got) == sorted(norms)
+    assert len(set(new)) == len(norms) and not set(new) & set(norms)
+    return new
+
+
+def test_full_forms(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = distinct(spark, "email", [f"{a}@{b}.com" for a in letters[:20] for b in letters])
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.com", m) for m in mails)
+    phones = distinct(spark, "phone", [f"+5/5{i:04}" for i in range(5000)])
+    assert all(re.fullmatch(r"\+5/5[0-9]{4}", p) for p in phones)
+    with pytest.raises(ValueError, match="no free surrogates"):
+        S.distinct_surrogates(entities(spark, "phone", [f"/{i:04}" for i in range(5001)]), "k")
+
+
+def test_names_grow_with_the_attempts(spark):
+    rows = entities(spark, "surname", ["smith"]).selectExpr("kind", "norm", "explode(sequence(4, 24)) AS attempt")
+    made = rows.select(S.surrogate(S.F.col("kind"), S.F.col("norm"), S.F.col("attempt"), "k").alias("s")).collect()
+    assert all(len(r.s) >= 3 * (4 + i) for i, r in enumerate(made)) and len(made) == 21

@@ -15,7 +15,10 @@ the original is, given names keep the gender that the form of address tells.
 
 Collision checks: a surrogate that another entity of the kind has got, or that
 is itself an entity of the corpus, is drawn again with the next attempt number
-until all are distinct.
+until all are distinct. Names get longer with the attempts, and mail addresses
+whose form is too full get letters in front. Phone and social security numbers
+of a form that is full to an eighth are matched with its free values instead;
+a form without enough free values is an error.
 
 Everything is columns and joins. Only documents with entities are shuffled, by
 the hash of their text; a text that many documents share is worked on once, and
@@ -34,6 +37,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tillroll.llm.common import materialize, table, whole_text
 
 KEY = "set a key of your own"
+# From this attempt on a mail address gets longer.
+WIDER = 8
+# Cards, accounts and IP addresses keep their form; so many clashes in a row mean that it is full.
+ROUNDS = 200
 
 # --- detection ------------------------------------------------------------------------
 
@@ -219,6 +226,11 @@ def _email(norm: Column, h: Column) -> Column:
     return _each(norm, lambda c, i: F.when(i > last, c).otherwise(_shaped(c, _number(h, i))))
 
 
+def _letters(n: Column, h: Column) -> Column:
+    places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    return F.array_join(F.transform(places, lambda i: _letter(_LATIN, _number(h, i + 30))), "")
+
+
 def _digits(norm: Column, h: Column, kept: Column) -> Column:
     return _each(norm, lambda c, i: F.when(i <= kept, c).otherwise((_number(h, i) % 10).cast("string")))
 
@@ -244,16 +256,17 @@ def _ip(norm: Column, h: Column) -> Column:
     return F.array_join(F.transform(F.split(norm, r"\."), lambda _, i: (_number(h, i) % 254 + 1).cast("string")), ".")
 
 
-def _made_name(kind: str, script: str, h: Column, syllables: int) -> Column:
-    parts = [_nth(SYLLABLES[script], _number(h, F.lit(i))) for i in range(syllables)]
-    return F.concat(*parts, _nth(_ENDS[kind, script], _number(h, F.lit(9))))
+def _made_name(kind: str, script: str, h: Column, syllables: Column) -> Column:
+    places = F.sequence(F.lit(0), syllables - 1)
+    parts = F.array_join(F.transform(places, lambda i: _nth(SYLLABLES[script], _number(h, i))), "")
+    return F.concat(parts, _nth(_ENDS[kind, script], _number(h, F.lit(9))))
 
 
 def _named(kind: str, norm: Column, h: Column, attempt: Column) -> Column:
     """A name from the list at first, then ever longer ones made of syllables."""
     out = F.lit(None).cast("string")
     for script in SYLLABLES:
-        made = F.when(attempt < 4, _made_name(kind, script, h, 2)).otherwise(_made_name(kind, script, h, 4))
+        made = _made_name(kind, script, h, F.when(attempt < 4, 2).otherwise(attempt))
         if kind != "surname":
             made = F.when(attempt == 0, _nth(GIVEN[kind, script], _number(h, F.lit(0)))).otherwise(made)
         out = F.when(_script(norm) == script, made).otherwise(out)
@@ -265,23 +278,73 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     code = F.length(F.substring_index(norm, "/", 1)) - 1
     phone_digits = F.substring_index(norm, "/", -1)
     phone = F.concat(F.substring_index(norm, "/", 1), F.lit("/"), _digits(phone_digits, h, code))
-    out = F.when(kind == "email", _email(norm, h)).when(kind == "phone", phone).when(kind == "card", _card(norm, h))
+    out = F.when(kind == "email", F.concat(_letters(attempt - (WIDER - 1), h), _email(norm, h))).when(kind == "phone", phone).when(kind == "card", _card(norm, h))
     out = out.when(kind == "iban", _iban(norm, h)).when(kind == "ip", _ip(norm, h)).when(kind == "ssn", _digits(norm, h, F.lit(0)))
     for name in ("surname", "given", "given_m", "given_f"):
         out = out.when(kind == name, _named(name, norm, h, attempt))
     return out
 
 
+_FORM = ["kind", "head", "n_digits"]
+
+
+def _with_form(entities: DataFrame) -> DataFrame:
+    """Phone and social security numbers with what their surrogates keep, and how many digits are drawn."""
+    phone = F.col("kind") == "phone"
+    head = F.when(phone, F.substring_index("norm", "/", 1)).otherwise("")
+    digits = F.when(phone, F.substring_index("norm", "/", -1)).otherwise(F.col("norm"))
+    fixed = entities.filter(F.col("kind").isin("phone", "ssn")).select("kind", "norm", head.alias("head"), F.length(digits).alias("n_digits"))
+    return fixed.withColumn("drawn", F.col("n_digits") - F.greatest(F.length("head") - 1, F.lit(0)))
+
+
+def _matched(entities: DataFrame, key: str) -> DataFrame | None:
+    """kind, norm and surrogate of the numbers whose form is full to an eighth or more; none if no form is."""
+    formed = _with_form(entities)
+    pool = F.pow(F.lit(10.0), F.col("drawn")).cast("bigint")
+    counted = formed.groupBy(*_FORM, "drawn").agg(F.count(F.lit(1)).alias("n")).withColumn("pool", pool)
+    full = materialize(counted.filter(F.col("n") * 8 > F.col("pool")), "full-forms")
+    if full.isEmpty():
+        return None
+    # The originals are taken too.
+    over = full.filter(F.col("n") * 2 > F.col("pool")).take(5)
+    if over:
+        said = "; ".join(f"{r.kind} {r['head']!r} with {r.n_digits} digits: {r.n} entities, {r.pool - r.n} free values" for r in over)
+        raise ValueError(f"no free surrogates left in a fixed format: {said}")
+    high = full.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("(pool - 1) div 4096"))).alias("high"))
+    every = high.select("*", F.explode(F.sequence(F.lit(0), F.lit(4095))).alias("low")).withColumn("v", F.col("high") * 4096 + F.col("low")).filter("v < pool")
+    code = F.regexp_replace("head", "[^0-9]", "")
+    digits = F.concat(code, F.expr("lpad(cast(v AS STRING), drawn, '0')"))
+    value = F.when(F.col("kind") == "phone", F.concat("head", F.lit("/"), digits)).otherwise(digits)
+    free = every.select(*_FORM, value.alias("norm")).join(entities, ["kind", "norm"], "left_anti")
+
+    def dealt(rows: DataFrame, salt: str) -> DataFrame:
+        by = F.sha2(F.concat_ws("\u0000", F.lit(key), F.lit(salt), "kind", "norm"), 256)
+        return rows.withColumn("nth", F.row_number().over(Window.partitionBy(*_FORM).orderBy(by, "norm")))
+
+    wanted = dealt(formed.join(full.select(*_FORM), _FORM, "left_semi"), "entity").select(*_FORM, "nth", "norm")
+    values = dealt(free, "value").select(*_FORM, "nth", F.col("norm").alias("surrogate"))
+    return materialize(wanted.join(values, [*_FORM, "nth"]).select("kind", "norm", "surrogate"), "matched")
+
+
 def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """kind, norm and surrogate: distinct within a kind, and none of them an entity itself.
 
-    Each round draws again only what clashed, so rounds shrink; they end when
-    nothing clashes.
+    Numbers of full forms are matched with free values. For the others each
+    round draws again only what clashed, so rounds shrink; they end when nothing
+    clashes.
     """
+    matched = _matched(entities, key)
+    if matched is None:
+        return _drawn_until_distinct(entities, entities, key)
+    rest = entities.join(matched, ["kind", "norm"], "left_anti")
+    return _drawn_until_distinct(rest, entities, key).unionAll(matched)
+
+
+def _drawn_until_distinct(entities: DataFrame, taken: DataFrame, key: str) -> DataFrame:
     drawn = entities.withColumn("attempt", F.lit(0))
     first = Window.partitionBy("kind", "surrogate").orderBy("attempt", "norm")
-    originals = entities.select("kind", F.col("norm").alias("surrogate"), F.lit(True).alias("taken"))
-    while True:
+    originals = taken.select("kind", F.col("norm").alias("surrogate"), F.lit(True).alias("taken"))
+    for _ in range(ROUNDS):
         named = drawn.withColumn("surrogate", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key))
         checked = named.withColumn("nth", F.row_number().over(first)).join(originals, ["kind", "surrogate"], "left")
         clash = (F.col("nth") > 1) | F.col("taken").isNotNull()
@@ -289,6 +352,8 @@ def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
         if state.filter("clash").isEmpty():
             return state.select("kind", "norm", "surrogate")
         drawn = state.select("kind", "norm", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt"))
+    kinds = sorted(r.kind for r in state.filter("clash").select("kind").distinct().collect())
+    raise ValueError(f"no free surrogates left in a fixed format after {ROUNDS} attempts: {', '.join(kinds)}")
 
 
 def _formatted(kind: Column, value: Column, drawn: Column) -> Column:
