@@ -8,6 +8,7 @@ from tillroll.llm.packing import op6_window_packing
 from tillroll.llm.page_crf import op7_page_crf
 from tillroll.llm.secret_ledger import op10_secret_ledger
 from tillroll.llm.shingle_join import op5_shingle_join
+from tillroll.llm.spelling_variants import op11_spelling_variants
 from tillroll.llm.string_tiling import op9_string_tiling
 from tillroll.llm.suffix_dedup import op1_suffix_dedup
 from tillroll.llm.surrogates import op4_surrogates
@@ -26,6 +27,7 @@ QUERIES = {
         op8_block_neighbours,
         op9_string_tiling,
         op10_secret_ledger,
+        op11_spelling_variants,
     )
 }
 ORACLE: dict[str, str] = {}
