@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from tillroll.llm.block_neighbours import op8_block_neighbours
+from tillroll.llm import mean_order_clusters
+from tillroll.llm.mean_order_clusters import op13_mean_order_clusters
 from tillroll.llm.minimax_shards import op3_minimax_shards
 from tillroll.llm.packing import op6_window_packing
 from tillroll.llm.page_crf import op7_page_crf
@@ -28,6 +30,7 @@ QUERIES = {
         op9_string_tiling,
         op10_secret_ledger,
         op11_spelling_variants,
+        op13_mean_order_clusters,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op13_mean_order_clusters": mean_order_clusters.ORACLE_SQL}
