@@ -6,6 +6,7 @@ from tillroll.llm.block_neighbours import op8_block_neighbours
 from tillroll.llm import mean_order_clusters
 from tillroll.llm.mean_order_clusters import op13_mean_order_clusters
 from tillroll.llm.minimax_shards import op3_minimax_shards
+from tillroll.llm.order_minhash import op12_order_minhash
 from tillroll.llm.packing import op6_window_packing
 from tillroll.llm.page_crf import op7_page_crf
 from tillroll.llm.secret_ledger import op10_secret_ledger
@@ -30,6 +31,7 @@ QUERIES = {
         op9_string_tiling,
         op10_secret_ledger,
         op11_spelling_variants,
+        op12_order_minhash,
         op13_mean_order_clusters,
     )
 }
