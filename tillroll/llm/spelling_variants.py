@@ -58,6 +58,7 @@ _HELD_WORDS = 200_000
 _HELD_LETTERS = 1 << 24
 # Letters whose dictionary entries are made at once.
 _AT_ONCE = 1 << 18
+_WORDS_A_TASK = 50_000
 
 
 def thinned(run: str, crc_of_id: int, one_in: int) -> str:
@@ -187,8 +188,12 @@ def neighbours(words: DataFrame) -> DataFrame:
 
     ``words`` has ``id, word, n``, the ids in the order that decides ties.
     """
+    # A word makes some twenty entries, so tasks are cut by words, not by the size of their file.
+    tasks = 1 + words.count() // _WORDS_A_TASK
+    entries = words.select("id", "word", "n").repartition(tasks, "id").mapInArrow(_enter, _ENTRY)
     members = F.collect_list(F.struct("id", "n", "skips")).alias("members")
-    shared = words.select("id", "word", "n").mapInArrow(_enter, _ENTRY).groupBy("p", "s").agg(members)
+    # Hardly any pair comes up twice in a task: they are not put together before the shuffle.
+    shared = entries.repartition("p", "s").groupBy("p", "s").agg(members)
 
     def near(me, other):
         replaced = (me.skips > 0) & (other.skips > 0)
