@@ -45,13 +45,13 @@ def plain_fingerprint(text, k=2, size=2, unit=16):
     out = []
     for members in slots:
         least = sorted(sorted(members)[:size], key=lambda m: m[1])
-        out.append(f"{xx(*[h for h, _ in least]) & 0xFFFFFFFF:08X}" if least else "-" * 8)
+        out.append(f"{max(xx(*[h for h, _ in least]) & 0xFFFFFFFF, 1):08X}" if least else "0" * 8)
     return "".join(out)
 
 
 def plain_likeness(a, b):
     pairs = [(a[i : i + 8], b[i : i + 8]) for i in range(0, len(a), 8)]
-    used = [p for p in pairs if p != ("-" * 8, "-" * 8)]
+    used = [p for p in pairs if p != ("0" * 8, "0" * 8)]
     return sum(x == y for x, y in used) / len(used) if used else 1.0
 
 

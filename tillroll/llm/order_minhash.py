@@ -56,7 +56,7 @@ _PLACE = (1 << _PLACE_BITS) - 1
 _DIGITS = 8
 # Characters that are units by themselves, as their scripts put no space between words.
 _ALONE = r"\p{IsIdeographic}\p{IsHiragana}\p{IsKatakana}"
-_EMPTY = "-" * _DIGITS
+_EMPTY = "0" * _DIGITS
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -120,7 +120,7 @@ def numbered(kmers: Column) -> Column:
 
 
 def fingerprint(text: Column, k: int = K, tuple_size: int = TUPLE, unit: int = UNIT) -> Column:
-    """``SLOTS`` values of eight hexadecimal digits each; dashes where a slot is empty."""
+    """``SLOTS`` values of eight hexadecimal digits each; zeros where a slot is empty."""
 
     def slot(pair: Column) -> Column:
         return F.shiftright(pair, _PLACE_BITS + _HASH_BITS - SLOTS_BITS).cast("int")
@@ -133,7 +133,7 @@ def fingerprint(text: Column, k: int = K, tuple_size: int = TUPLE, unit: int = U
             )
         )
         tuple_hash = F.xxhash64(F.transform(in_order, lambda p: p.bitwiseAND(F.lit(_HASH))))
-        return F.lpad(F.hex(tuple_hash.bitwiseAND(F.lit(_HASH))), _DIGITS, "0")
+        return F.lpad(F.hex(F.greatest(tuple_hash.bitwiseAND(F.lit(_HASH)), F.lit(1))), _DIGITS, "0")
 
     def slots(least: Column) -> Column:
         def entry(i: Column) -> Column:
@@ -159,10 +159,13 @@ def fingerprint(text: Column, k: int = K, tuple_size: int = TUPLE, unit: int = U
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal slots among those that are not empty in both."""
 
-    def at(fingerprint_: Column, s: Column) -> Column:
-        return F.substring(fingerprint_, s * _DIGITS + 1, F.lit(_DIGITS))
+    def pairs(prints: Column) -> Column:
+        def at(i: int, s: Column) -> Column:
+            return F.substring(prints[i], s * _DIGITS + 1, F.lit(_DIGITS))
 
-    both = F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda s: F.array(at(a, s), at(b, s)))
+        return F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda s: F.array(at(0, s), at(1, s)))
+
+    both = F.transform(F.array(F.array(a, b)), pairs)[0]
     used = F.filter(both, lambda p: (p[0] != _EMPTY) | (p[1] != _EMPTY))
 
     def share(slots: Column) -> Column:
@@ -219,8 +222,8 @@ def edited_fingerprints(
             "copies",
             "id",
             F.length(F.col("texts")[0]).cast("bigint").alias("n_chars"),
-            F.sha2(F.col("texts")[1], 256).alias("edited_sha256"),
-            F.transform("texts", lambda t: fingerprint(t)).alias("prints"),
+            F.unhex(F.sha2(F.col("texts")[1], 256)).alias("edited_sha256"),
+            F.transform("texts", lambda t: F.unhex(fingerprint(t))).alias("prints"),
         ),
         "fingerprints",
         work,
@@ -232,11 +235,11 @@ def edited_fingerprints(
         .select(
             F.col("id").alias(key),
             "n_chars",
-            "edited_sha256",
-            own.alias("fingerprint"),
-            changed.alias("edited_fingerprint"),
-            likeness(own, changed).alias("near_edited"),
-            likeness(own, F.col("next_print")).alias("near_next"),
+            F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
+            F.hex(own).alias("fingerprint"),
+            F.hex(changed).alias("edited_fingerprint"),
+            likeness(F.hex(own), F.hex(changed)).alias("near_edited"),
+            likeness(F.hex(own), F.hex("next_print")).alias("near_next"),
             F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),
         )
         .drop("copy")
