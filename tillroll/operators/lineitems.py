@@ -15,9 +15,10 @@ def number_list(text: Column) -> Column:
     return F.transform(parse_list(text), plain_notation)
 
 
-def lineitem_raw(wide: DataFrame) -> DataFrame:
-    """The three lists and the session of each receipt."""
+def lineitem_raw(wide: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The three lists and the session of each receipt, after the columns of ``keep``."""
     return wide.select(
+        *keep,
         clean_items(F.col("ITEMS")).alias("ITEMS"),
         number_list(F.col("PRICE")).alias("PRICE"),
         number_list(F.col("QUANTITY")).alias("QUANTITY"),
@@ -29,7 +30,7 @@ def array_lengths(raw: DataFrame, columns: Sequence[str] = ("ITEMS", "PRICE", "Q
     return raw.withColumns({f"{c}_LENGTH": F.size(c) for c in columns})
 
 
-def explode_items(raw: DataFrame) -> DataFrame:
+def explode_items(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per list position; shorter lists are padded with NULL.
 
     The session id exists once per ITEMS entry, so it is NULL at positions past
@@ -41,17 +42,20 @@ def explode_items(raw: DataFrame) -> DataFrame:
     }
     # The item count is taken before the explode, so rows do not drag the list along.
     padded = raw.select(
+        *keep,
         *[values.alias(c) for c, values in lists.items()],
         F.size(lists["ITEMS"]).alias("named"),
         "SESSIONIDS",
     )
     zipped = padded.select(
+        *keep,
         F.posexplode(F.arrays_zip("ITEMS", "PRICE", "QUANTITY")).alias("pos", "item"),
         "named",
         "SESSIONIDS",
     )
     listed = F.col("pos") < F.col("named")
     flat = zipped.select(
+        *keep,
         "item.*",
         F.when(listed, F.col("SESSIONIDS")).alias("SESSIONID"),
         listed.alias("listed"),
@@ -65,9 +69,10 @@ def explode_items(raw: DataFrame) -> DataFrame:
     return kept.drop("listed")
 
 
-def lineitem_final(raw: DataFrame) -> DataFrame:
+def lineitem_final(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The ``lineitem`` table: unreadable prices and quantities are -1."""
-    return explode_items(raw).select(
+    return explode_items(raw, keep).select(
+        *keep,
         "ITEMS",
         sanitize_price(F.col("PRICE")).alias("PRICE"),
         sanitize_quantity(F.col("QUANTITY")).alias("QUANTITY"),

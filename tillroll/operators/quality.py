@@ -52,7 +52,8 @@ def accepted(checked: DataFrame) -> DataFrame:
 def check_notifications(df: DataFrame, column: str = "event") -> DataFrame:
     """One row per record of a notification, or one for a notification without any.
 
-    Adds ``bucket`` and ``key`` (decoded) and says what is wrong.
+    Adds ``bucket``, ``key`` (decoded) and ``object_version`` (what the notification has to
+    tell versions of an object apart, or NULL) and says what is wrong.
     """
     opened = settled(df, {"_n": _parsed(column, schemas.NOTIFICATION)})
     records = opened.select("*", F.explode_outer("_n.Records").alias("_record"))
@@ -63,7 +64,9 @@ def check_notifications(df: DataFrame, column: str = "event") -> DataFrame:
         (bucket.isNull(), "MissingField", "bucket"),
         (key.isNull(), "MissingField", "key"),
     ]
-    return records.withColumns({"bucket": bucket, "key": decode_key(key), **_judged(checks)}).drop("_n", "_record")
+    version = F.coalesce(*[F.col(f"_record.s3.object.{name}") for name in ("versionId", "sequencer", "eTag")])
+    named = {"bucket": bucket, "key": decode_key(key), "object_version": version}
+    return records.withColumns({**named, **_judged(checks)}).drop("_n", "_record")
 
 
 def check_responses(df: DataFrame, raw: str = "raw") -> DataFrame:

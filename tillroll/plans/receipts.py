@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll import schemas
@@ -164,18 +166,19 @@ def enrich_checked(checked: DataFrame, path: str = "path") -> DataFrame:
 # --- enriched envelopes to tables ----------------------------------------------
 
 
-def receipt_wide(enriched: DataFrame) -> DataFrame:
+def receipt_wide(enriched: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per readable receipt with the kept labels as text; addresses on one line."""
-    return kv_wide(enriched, readable_only=True).withColumn("ADDRESS", clean_address(F.col("ADDRESS")))
+    return kv_wide(enriched, keep, readable_only=True).withColumn("ADDRESS", clean_address(F.col("ADDRESS")))
 
 
-def keyvalue_from_wide(wide: DataFrame) -> DataFrame:
-    mapped = apply_mapping(wide, KEYVALUE_MAPPING)
+def keyvalue_from_wide(wide: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The ``keyvalue`` columns of wide rows, after the text columns of ``keep``."""
+    mapped = apply_mapping(wide, [*((name, "string", name, "string") for name in keep), *KEYVALUE_MAPPING])
     return (
         mapped.withColumn("DATES", receipt_date(F.col("date")))
         .drop("date")
         .withColumnRenamed("USER", "NAME")
-        .select("TOTAL_AMOUNT", "STOREID", "TENANTIDS", "SESSIONID", "NAME", "DATES", "ADDRESS", "MOBILE")
+        .select(*keep, "TOTAL_AMOUNT", "STOREID", "TENANTIDS", "SESSIONID", "NAME", "DATES", "ADDRESS", "MOBILE")
     )
 
 
@@ -187,8 +190,8 @@ def keyvalue_final(enriched: DataFrame) -> DataFrame:
     return keyvalue_from_wide(receipt_wide(enriched))
 
 
-def lineitems_from_wide(wide: DataFrame) -> DataFrame:
-    return lineitem_final(lineitem_raw(wide))
+def lineitems_from_wide(wide: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return lineitem_final(lineitem_raw(wide, keep), keep)
 
 
 def lineitems(enriched: DataFrame) -> DataFrame:

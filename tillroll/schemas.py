@@ -22,7 +22,7 @@ EXPENSE_RESPONSE = """
 NOTIFICATION = """
     Records ARRAY<STRUCT<s3: STRUCT<
         bucket: STRUCT<name: STRING>,
-        object: STRUCT<key: STRING>>>>
+        object: STRUCT<key: STRING, versionId: STRING, sequencer: STRING, eTag: STRING>>>>
 """
 
 # An envelope is a flat JSON object whose bags are JSON text inside JSON text.

@@ -452,3 +452,78 @@ pages_of AS (
                  WHEN doc % 19 = 4 AND page_no = 1 THEN 'MissingField' END AS error_type FROM kept
 )
 """
+
+
+def customer_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``wave, key, raw``: one receipt object per customer, some delivered again.
+
+    Wave 0 has all customers. Wave 1 has every fifth again under the same file name
+    in another folder, with other values, and every seventh under a new name.
+    Damaged are k % 11 = 3 of wave 0 (no JSON), and k % 10 = 5 of what comes again.
+    """
+    k = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(
+        "*",
+        F.explode(
+            F.filter(
+                F.array(
+                    F.lit("first"),
+                    F.when(k % 5 == 0, "again"),
+                    F.when(k % 7 == 0, "late"),
+                ),
+                lambda kind: kind.isNotNull(),
+            )
+        ).alias("kind"),
+    )
+    again = F.col("kind") == "again"
+    date = F.date_add(F.lit("2020-01-01").cast("date"), (k % 700).cast("int"))
+    kv = F.struct(
+        F.array(*map(F.lit, ("NAME", "INVOICE_RECEIPT_DATE", "ADDRESS", "OTHER"))).alias("Type"),
+        F.array(*map(F.lit, ("User", "", "other", " Mobile: "))).alias("Key"),
+        F.array(
+            F.when(again, F.concat("c_name", F.lit(" again"))).otherwise(F.col("c_name")),
+            F.date_format(date, "yyyy-MM-dd"),
+            F.concat("c_mktsegment", F.lit("\nhouse "), k),
+            (k + 9_000_000_000).cast("string"),
+        ).alias("Value"),
+    )
+    items = F.struct(
+        F.when(again, F.array(F.lower("c_mktsegment"))).otherwise(F.array("c_mktsegment", F.lit("bag"))).alias("items"),
+        F.when(again, F.array(k + 0.5)).otherwise(F.array(k + 0.25, F.lit(1.0))).alias("price"),
+        F.when(again, F.array(F.lit("3"))).otherwise(F.array(F.lit("1"), F.lit("2"))).alias("quantity"),
+    )
+    envelope = F.to_json(
+        F.struct(
+            F.to_json(items).alias("lineitems"),
+            F.to_json(kv).alias("kv_data"),
+            F.lit("0:00:01").alias("time_taken"),
+            (k + F.when(again, 0.5).otherwise(1.25)).alias("total_amount"),
+        )
+    )
+    broken = ((F.col("kind") == "first") & (k % 11 == 3)) | (again & (k % 10 == 5))
+    folder = F.when(again, "second").otherwise("first")
+    name = F.concat(F.when(F.col("kind") == "late", "late ").otherwise("c"), k, F.lit(".json"))
+    key = F.concat(
+        F.lit("T"), k % 3, F.lit("/"), folder, F.lit("/S"), F.col("c_nationkey"), F.lit("/b/X"), k, F.lit("/c/textract/"), name
+    )
+    return rows.select(
+        F.when(F.col("kind") == "first", 0).otherwise(1).alias("wave"),
+        key.alias("key"),
+        F.when(broken, F.concat(F.lit("{oops "), k)).otherwise(envelope).alias("raw"),
+    )
+
+
+# The same objects, and which of them count in the end.
+CUSTOMER_OBJECTS_SQL = """d AS (
+  SELECT c_custkey AS k, c_name, c_nationkey, c_mktsegment, 'first' AS kind FROM customer
+  UNION ALL SELECT c_custkey, c_name, c_nationkey, c_mktsegment, 'again' FROM customer WHERE c_custkey % 5 = 0
+  UNION ALL SELECT c_custkey, c_name, c_nationkey, c_mktsegment, 'late' FROM customer WHERE c_custkey % 7 = 0),
+judged AS (
+  SELECT *, (kind = 'first' AND k % 11 = 3) OR (kind = 'again' AND k % 10 = 5) AS broken,
+         CASE WHEN kind = 'late' THEN 'late ' ELSE 'c' END || k || '.json' AS name,
+         'T' || k % 3 || CASE WHEN kind = 'again' THEN '/second' ELSE '/first' END || '/S' || c_nationkey || '/b/X' || k
+           || '/c/textract/' AS folder FROM d),
+latest AS (
+  SELECT * FROM judged WHERE NOT broken
+  QUALIFY row_number() OVER (PARTITION BY name ORDER BY kind = 'again' DESC) = 1)
+"""

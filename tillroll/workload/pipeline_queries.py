@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillroll import schemas
+from tillroll.functions import paths
 from tillroll.operators import keys, kv, lineitems, pages, quality
 from tillroll.plans import receipts as plans
 from tillroll.sources import readers, writers
 from tillroll.storage import work_path
+from tillroll.sources.objects import write_objects
 from tillroll.streaming.ingest import envelope_stream, ingest_available, read_table
+from tillroll.streaming.ledger import ledger_ingest as ingest_unlisted, notified_ingest as ingest_notified, read_rows
 from tillroll.workload import derive
-from tillroll.workload.derive import BASE_SQL, PAGES_SQL
+from tillroll.workload.derive import BASE_SQL, CUSTOMER_OBJECTS_SQL, PAGES_SQL
 from tillroll.workload.registry import query
 from tillroll.workload.scalar_queries import joined
 
@@ -678,6 +681,112 @@ def stream_quarantine(spark, sf_dir):
     return _streamed(spark, sf_dir, "quarantine").select("error_type", "error_message")
 
 
+# --- objects, ledger, last writer ------------------------------------------------------------
+
+
+def _delivered(spark, sf_dir, name):
+    """Two waves of objects, each taken in by a run of its own, and a run that finds nothing new."""
+    root, out = work_path(spark, "objects"), work_path(spark, "merged")
+    objects = derive.customer_objects(spark, sf_dir)
+    for wave in (0, 1, 2):
+        write_objects(objects.filter(F.col("wave") == wave), root, "key", "raw")
+        ingest_unlisted(spark, root, out, buckets=16)
+    rows = read_rows(spark, out, name)
+    if "path" in rows.columns:
+        # What lies below the folder of this run.
+        key = F.regexp_extract("path", "(T[0-9]+/(?:first|second)/.*)$", 1)
+        rows = rows.withColumn("path", key)
+    return rows
+
+
+_LATEST_KEYVALUE_SQL = (
+    "WITH "
+    + CUSTOMER_OBJECTS_SQL
+    + """SELECT k + CASE WHEN kind = 'again' THEN 0.5 ELSE 1.25 END::DOUBLE AS "TOTAL_AMOUNT", 'S' || c_nationkey AS "STOREID",
+         'T' || k % 3 AS "TENANTIDS", 'X' || k AS "SESSIONID", c_name || CASE WHEN kind = 'again' THEN ' again' ELSE '' END AS "NAME",
+         DATE '2020-01-01' + CAST(k % 700 AS INTEGER) AS "DATES", c_mktsegment || ' house ' || k AS "ADDRESS",
+         k + 9000000000 AS "MOBILE" FROM latest"""
+)
+
+
+@query(_LATEST_KEYVALUE_SQL)
+def ledger_ingest(spark, sf_dir):
+    """All columns of ``keyvalue`` from per-receipt folders, the last delivery of each file name."""
+    return _delivered(spark, sf_dir, "keyvalue")
+
+
+@query(
+    "WITH "
+    + CUSTOMER_OBJECTS_SQL
+    + """SELECT upper(c_mktsegment) AS "ITEMS", (k + CASE WHEN kind = 'again' THEN 0.5 ELSE 0.25 END)::DOUBLE AS "PRICE",
+         CASE WHEN kind = 'again' THEN 3 ELSE 1 END::DOUBLE AS "QUANTITY", 'X' || k AS "SESSIONID" FROM latest
+       UNION ALL SELECT 'BAG', 1.0::DOUBLE, 2.0::DOUBLE, 'X' || k FROM latest WHERE kind <> 'again'"""
+)
+def ledger_last_writer(spark, sf_dir):
+    """All columns of ``lineitem``: a redelivered receipt's items replace the earlier ones."""
+    return _delivered(spark, sf_dir, "lineitem")
+
+
+@query(
+    "WITH "
+    + CUSTOMER_OBJECTS_SQL
+    + """SELECT folder || name AS path, 'MalformedJson' AS error_type, 'envelope' AS error_message, '{oops ' || k AS raw
+         FROM judged WHERE broken"""
+)
+def ledger_quarantine(spark, sf_dir):
+    return _delivered(spark, sf_dir, "quarantine")
+
+
+@query(
+    "WITH "
+    + CUSTOMER_OBJECTS_SQL
+    + """, counted AS (SELECT CASE WHEN kind = 'first' THEN 0 ELSE 1 END::BIGINT AS batch, * FROM judged)
+    SELECT batch, count(*) AS objects, 0::BIGINT AS superseded, count_if(NOT broken)::BIGINT AS accepted,
+           count_if(broken)::BIGINT AS malformed, 0::BIGINT AS missing_field, 0::BIGINT AS missing_object,
+           0::BIGINT AS missing_text, 0::BIGINT AS missing_date FROM counted GROUP BY batch"""
+)
+def ledger_metrics(spark, sf_dir):
+    """What was observed on the way, one row per batch."""
+    return _delivered(spark, sf_dir, "metrics")
+
+
+@query(_LATEST_KEYVALUE_SQL)
+def notified_ingest(spark, sf_dir):
+    """Objects read because notifications name them, every notification delivered twice."""
+    root, out = work_path(spark, "objects"), work_path(spark, "notified")
+    objects = derive.customer_objects(spark, sf_dir)
+    for wave in (0, 1):
+        part = objects.filter(F.col("wave") == wave)
+        write_objects(part, f"{root}/bills", "key", "raw")
+        escaped = F.replace("key", F.lit(" "), F.lit("+"))
+        one = F.struct(
+            F.struct(
+                F.struct(F.lit("bills").alias("name")).alias("bucket"),
+                F.struct(escaped.alias("key"), F.lit(f"v{wave}").alias("versionId")).alias("object"),
+            ).alias("s3")
+        )
+        events = part.select(F.to_json(F.struct(F.array(one).alias("Records"))).alias("event"))
+        ingest_notified(events.unionAll(events), root, out, buckets=16)
+    return read_rows(spark, out, "keyvalue")
+
+
+@query(
+    """SELECT 'analyze-expense-output/' || c_name || '-' || strftime(TIMESTAMP '2024-02-28 23:00:00' + to_seconds(c_custkey),
+         '%Y-%m-%d-%H-%M-%S') || '-extracted.json' AS key, 'total ' || c_custkey || chr(10) || c_mktsegment AS content FROM customer"""
+)
+def object_sink(spark, sf_dir):
+    """One object per row under its output key; names and contents as they lie in the store."""
+    root = work_path(spark, "objects")
+    k = F.col("c_custkey")
+    created = F.timestamp_seconds(F.unix_timestamp(F.lit("2024-02-28 23:00:00")) + k)
+    key = paths.extracted_key(F.concat(F.lit("in/"), "c_name", F.lit(".v1.pdf")), created)
+    content = F.concat(F.lit("total "), k, F.lit("\n"), "c_mktsegment")
+    rows = derive.table(spark, sf_dir, "customer").select(key.alias("key"), content.alias("content"))
+    write_objects(rows, root, "key", "content")
+    stored = readers.scan_envelopes(spark, root)
+    return stored.select(F.regexp_extract("path", "(analyze-expense-output/.*)$", 1).alias("key"), F.col("raw").alias("content"))
+
+
 # --- pages -------------------------------------------------------------------------------------
 
 
