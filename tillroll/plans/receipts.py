@@ -215,7 +215,11 @@ def wide_from_responses(responses: DataFrame, path: str = "path") -> DataFrame:
     receipts = responses.filter(is_receipt_key(F.col(path)))
     documents = expense_documents(receipts, [path])
     complete = documents.filter(F.col("fields").isNotNull() & F.col("groups").isNotNull())
-    bags = with_bags(complete)
+    return wide_from_bags(with_bags(complete), path)
+
+
+def wide_from_bags(bags: DataFrame, path: str = "path") -> DataFrame:
+    """Wide receipt rows of documents whose bags (``kv``, ``li``, ``total``) are built."""
     ids = path_ids(F.col(path))
     appended = F.array(
         F.to_json("li.items"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tillroll import schemas
 from tillroll.functions import paths
 from tillroll.operators import keys, kv, lineitems, pages, quality
-from tillroll.plans import receipts as plans
+from tillroll.plans import receipts as plans, responses
 from tillroll.sources import readers, writers
 from tillroll.storage import work_path
 from tillroll.sources.objects import write_objects
@@ -607,6 +607,63 @@ def responses_to_lineitem(spark, sf_dir):
     return plans.lineitems(plans.enrich_envelopes(_raw_envelopes(spark, sf_dir)))
 
 
+_UNDAMAGED = "b.k % 29 <> 7 AND b.k % 23 <> 5 AND b.k % 19 <> 3"
+
+
+def _response_tables(spark, sf_dir):
+    return responses.response_tables(derive.damaged_responses(spark, sf_dir), raw="response")
+
+
+@query(WITH + _CHAIN_SQL + " AND " + _UNDAMAGED)
+def response_tables(spark, sf_dir):
+    """``keyvalue`` of responses some of which are broken."""
+    return _response_tables(spark, sf_dir).keyvalue
+
+
+@query(WITH + _CHAIN_ITEMS_SQL + " AND " + _UNDAMAGED.replace("b.k", "k"))
+def response_tables_items(spark, sf_dir):
+    return _response_tables(spark, sf_dir).lineitem
+
+
+@query(
+    WITH
+    + """SELECT path, CASE WHEN k % 29 <> 7 AND k % 23 <> 5 THEN 0 END AS doc_no, 'response' AS stage,
+         CASE WHEN k % 29 = 7 THEN 'MalformedJson' ELSE 'MissingField' END AS error_type,
+         CASE WHEN k % 29 = 7 THEN 'response' WHEN k % 23 = 5 THEN 'ExpenseDocuments' ELSE 'LineItemGroups' END AS error_message,
+         CASE WHEN k % 29 = 7 THEN '{oops' WHEN k % 23 = 5 THEN '{}'
+              ELSE '{"ExpenseDocuments": [{"SummaryFields": []}]}' END AS raw
+         FROM paths WHERE k % 17 <> 0 AND (k % 29 = 7 OR k % 23 = 5 OR k % 19 = 3)"""
+)
+def response_rejects(spark, sf_dir):
+    """Every response that gave no document, with its text."""
+    return _response_tables(spark, sf_dir).rejects
+
+
+@query(
+    WITH
+    + """SELECT DISTINCT path, 'BadPrice' AS error_type, 'price' AS error_message FROM items JOIN paths USING (session)
+         WHERE bad_price AND paths.k % 17 <> 0 AND """
+    + _UNDAMAGED.replace("b.k", "paths.k")
+)
+def response_warnings(spark, sf_dir):
+    """Responses with a price that counts as 0.0."""
+    return _response_tables(spark, sf_dir).warnings.select("path", "error_type", "error_message").distinct()
+
+
+@query(
+    WITH
+    + """, judged AS (SELECT *, k % 29 = 7 OR k % 23 = 5 OR k % 19 = 3 AS damaged FROM base)
+    SELECT session, CASE WHEN damaged THEN 'rejected' ELSE 'built' END AS way FROM judged"""
+)
+def response_envelopes(spark, sf_dir):
+    """Every response goes exactly one way."""
+    made = responses.response_envelopes(
+        derive.damaged_responses(spark, sf_dir).withColumn("seconds", F.lit(1.5)), ["session"], "seconds", raw="response"
+    )
+    built = made.documents.select("session", F.lit("built").alias("way"))
+    return built.unionAll(made.rejects.select("session", F.lit("rejected").alias("way"))).distinct()
+
+
 @query(WITH + _KEYVALUE_SQL)
 def receipt_tables(spark, sf_dir):
     """The first of both tables from one parse."""
