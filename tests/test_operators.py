@@ -360,3 +360,16 @@ def test_last_writer_wins(spark):
     df = spark.createDataFrame([("a/x.json", 1), ("b/x.json", 2), ("a/y.json", 3)], "path string, v int")
     got = quality.last_by_basename(df).collect()
     assert sorted((r.target, r.path, r.v) for r in got) == [("x.json", "b/x.json", 2), ("y.json", "a/y.json", 3)]
+
+
+def test_pages_without_a_document_id_and_clashing_columns(spark):
+    rows = [(None, 1, "h", "x"), (None, 2, "h", "y"), (None, 3, "i", "z"), (1, 1, "h", "x"), (1, 2, "g", "x")]
+    df = spark.createDataFrame(rows, "doc INT, page INT, hash STRING, _cut STRING")
+    kept = pages.pages_before_duplicate(df, "doc", "page", "hash")
+    assert kept.columns == df.columns
+    assert sorted((tuple(r) for r in kept.collect()), key=repr) == sorted([rows[0], rows[3], rows[4]], key=repr)
+
+
+def test_a_page_with_a_missing_pixel_has_no_hash(spark):
+    df = spark.createDataFrame([([1.0, None, 3.0],), ([1.0, 2.0, 6.0],), ([],), (None,)], "px ARRAY<DOUBLE>")
+    assert [r[0] for r in df.select(average_hash(F.col("px"))).collect()] == [None, "001", "", None]

@@ -103,3 +103,52 @@ def test_hot_document_is_split_in_the_cut_join(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_a_document_of_many_pages_is_written_as_json_over_many_files(spark):
+    """The JSON of a 10,000-page document, of one without elements and of others equals the plain build."""
+    import glob
+    import json
+    import tempfile
+
+    from tillroll.plans import combined, receipts
+
+    pages = {"long": 10_000, "none": 0, "two": 2}
+    fields, items = [], []
+    for doc, n in pages.items():
+        for page in range(1, n + 1):
+            fields += [(doc, page, 0, pos, "T", f'k "{pos}"', f"v{page}\n", None if pos else 99.5, 1.0) for pos in range(2)]
+            items += [(doc, page, d, 0, f"item {page}", page / 4, "1", 90.0, None, 90.0) for d in range(2)]
+    kv_columns = "doc STRING, page INT, doc_no INT, pos INT, " + ", ".join(
+        f"{b} {'DOUBLE' if 'Confidence' in b else 'STRING'}" for b in receipts._KV_BAGS
+    )
+    li_columns = "doc STRING, page INT, doc_no INT, pos INT, items STRING, price DOUBLE, quantity STRING, " + ", ".join(
+        f"{b} DOUBLE" for b in receipts._ITEM_BAGS[3:]
+    )
+    totals = [("long", 12.345), ("none", None), ("two", 7.0)]
+    lines = combined.combined_lines(
+        spark.createDataFrame(fields, kv_columns).repartition(8),
+        spark.createDataFrame(items, li_columns).repartition(8),
+        spark.createDataFrame(totals, "doc STRING, total_amount DOUBLE"),
+        "doc",
+        "page",
+    )
+    path = tempfile.mkdtemp(prefix="run-") + "/combined"
+    combined.write_combined(lines, path, "doc")
+    files = sorted(glob.glob(f"{path}/part-*"))
+    sizes = [sum(1 for _ in open(f)) for f in files]
+    assert len(files) >= 2 and max(sizes) < 0.9 * sum(sizes)
+    text = "".join(open(f).read() for f in files)
+    decoder, at, found = json.JSONDecoder(), 0, []
+    while at < len(text):
+        value, at = decoder.raw_decode(text, at)
+        found.append(value)
+        at += len(text[at:]) - len(text[at:].lstrip())
+
+    def plain(doc):
+        own_fields, own_items = [[r for r in rows if r[0] == doc] for rows in (fields, items)]
+        bags = lambda rows, names: {b: ["" if r[4 + i] is None else r[4 + i] for r in rows] for i, b in enumerate(names)}
+        return {"SummaryData": bags(own_fields, receipts._KV_BAGS), "LineItemsData": bags(own_items, receipts._ITEM_BAGS)}
+
+    assert [f.pop("TotalAmount") for f in found] == [12.35, 0.0, 7.0]
+    assert found == [plain(doc) for doc in ("long", "none", "two")]

@@ -80,15 +80,19 @@ def lineitem_bag(groups: Column) -> Column:
 
 
 def average_hash(pixels: Column) -> Column:
-    """One bit per grey value, set where it lies above the mean; no bits for no pixels."""
+    """One bit per grey value, set where it lies above the mean; no bits for no pixels.
+
+    NULL if a pixel is missing: a damaged page has no hash and repeats nothing.
+    """
 
     def bits(px):
         mean = F.aggregate(px, F.lit(0.0), lambda s, v: s + v, lambda s: F.try_divide(s, F.size(px)))
-        return let(
+        joined = let(
             mean,
             lambda m: F.array_join(
                 F.transform(px, lambda v: F.when(v > m, "1").otherwise("0")), ""
             ),
         )
+        return F.when(~F.exists(px, lambda v: v.isNull()), joined)
 
     return let(pixels, bits)

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tillroll.functions.paths import document_kind
 from tillroll.storage import materialize
 
+# Helper columns, named so that no input column is called the same.
+_CUT, _CUT_DOC, _NTH = "tillroll_cut", "tillroll_cut_doc", "tillroll_nth"
+
 
 def page_count(pages: DataFrame, doc: str) -> DataFrame:
     return pages.groupBy(doc).agg(F.count(F.lit(1)).alias("pages"))
@@ -44,8 +47,8 @@ def unhashed_pages(pages: DataFrame, page_hash: str) -> DataFrame:
 def first_occurrences(pages: DataFrame, doc: str, page: str, page_hash: str) -> DataFrame:
     """Only the first page of each hash; later distinct pages stay, and so do pages without a hash."""
     by_hash = Window.partitionBy(doc, page_hash).orderBy(page)
-    ranked = pages.filter(F.col(page_hash).isNotNull()).withColumn("_nth", F.row_number().over(by_hash))
-    first = ranked.filter(F.col("_nth") == 1).drop("_nth")
+    ranked = pages.filter(F.col(page_hash).isNotNull()).withColumn(_NTH, F.row_number().over(by_hash))
+    first = ranked.filter(F.col(_NTH) == 1).drop(_NTH)
     return first.unionByName(unhashed_pages(pages, page_hash))
 
 
@@ -61,10 +64,10 @@ def first_repeats(pages: DataFrame, doc: str, page: str, page_hash: str) -> Data
     second = (
         pages.filter(F.col(page_hash).isNotNull())
         .select(doc, page_hash, page)
-        .withColumn("_nth", F.row_number().over(by_hash))
-        .filter(F.col("_nth") == 2)
+        .withColumn(_NTH, F.row_number().over(by_hash))
+        .filter(F.col(_NTH) == 2)
     )
-    return second.groupBy(doc).agg(F.min(page).alias("_cut"))
+    return second.groupBy(doc).agg(F.min(page).alias(_CUT))
 
 
 def pages_before_duplicate(
@@ -82,13 +85,14 @@ def pages_before_duplicate(
     The cut list has one row per document and is written out first, into
     ``work`` or a new folder: the join then broadcasts it if it is small by
     measured size, and otherwise splits a hot document's pages over several
-    tasks.
+    tasks. Pages without a document id are one document.
     """
     if drop_only_duplicates:
         return first_occurrences(pages, doc, page, page_hash)
     cuts = materialize(first_repeats(pages, doc, page, page_hash), "page-cuts", work)
-    joined = pages.join(cuts, doc, "left")
-    return joined.filter(F.col("_cut").isNull() | (F.col(page) < F.col("_cut"))).drop("_cut")
+    cuts = cuts.withColumnRenamed(doc, _CUT_DOC)
+    joined = pages.join(cuts, pages[doc].eqNullSafe(cuts[_CUT_DOC]), "left")
+    return joined.filter(F.col(_CUT).isNull() | (F.col(page) < F.col(_CUT))).select(*pages.columns)
 
 
 def combine_pages(

@@ -157,6 +157,8 @@ def good_envelopes(checked: DataFrame) -> DataFrame:
 def last_by_basename(df: DataFrame, path: str = "path") -> DataFrame:
     """Objects with equal file name write to the same key: the last path wins.
 
+    A path names one object; rows that repeat the winning path are all kept.
+
     The winners are found from the paths alone, each map task sending one path
     per name; the documents themselves then only meet the list of winners.
     """

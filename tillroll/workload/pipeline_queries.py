@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tillroll import schemas
 from tillroll.functions import paths
 from tillroll.operators import keys, kv, lineitems, pages, quality
-from tillroll.plans import receipts as plans, responses
+from tillroll.plans import combined, receipts as plans, responses
 from tillroll.sources import readers, writers
 from tillroll.storage import work_path
 from tillroll.sources.objects import write_objects
@@ -827,6 +827,42 @@ def notified_ingest(spark, sf_dir):
     return read_rows(spark, out, "keyvalue")
 
 
+def _streamed_objects(spark, sf_dir, name):
+    """The first wave of objects, in per-receipt folders, through the file stream."""
+    root, out = work_path(spark, "objects"), work_path(spark, "streamed")
+    write_objects(derive.customer_objects(spark, sf_dir).filter("wave = 0"), root, "key", "raw")
+    ingest_available(envelope_stream(spark, root), out, work_path(spark, "stream-checkpoints"))
+    return read_table(spark, out, name)
+
+
+@query(_LATEST_KEYVALUE_SQL.replace("FROM latest", "FROM judged WHERE kind = 'first' AND NOT broken"))
+def stream_objects(spark, sf_dir):
+    """All columns of ``keyvalue``, ids from the paths, through the stream."""
+    return _streamed_objects(spark, sf_dir, "keyvalue")
+
+
+@query(
+    "WITH "
+    + CUSTOMER_OBJECTS_SQL
+    + """SELECT upper(c_mktsegment) AS "ITEMS", (k + 0.25)::DOUBLE AS "PRICE", 1.0::DOUBLE AS "QUANTITY", 'X' || k AS "SESSIONID"
+         FROM judged WHERE kind = 'first' AND NOT broken
+       UNION ALL SELECT 'BAG', 1.0::DOUBLE, 2.0::DOUBLE, 'X' || k FROM judged WHERE kind = 'first' AND NOT broken"""
+)
+def stream_objects_items(spark, sf_dir):
+    return _streamed_objects(spark, sf_dir, "lineitem")
+
+
+@query(
+    "WITH "
+    + CUSTOMER_OBJECTS_SQL
+    + """SELECT folder || name AS path, 'MalformedJson' AS error_type, 'envelope' AS error_message, '{oops ' || k AS raw
+         FROM judged WHERE kind = 'first' AND broken"""
+)
+def stream_objects_quarantine(spark, sf_dir):
+    rows = _streamed_objects(spark, sf_dir, "quarantine")
+    return rows.withColumn("path", F.regexp_extract("path", "(T[0-9]+/first/.*)$", 1))
+
+
 @query(
     """SELECT 'analyze-expense-output/' || c_name || '-' || strftime(TIMESTAMP '2024-02-28 23:00:00' + to_seconds(c_custkey),
          '%Y-%m-%d-%H-%M-%S') || '-extracted.json' AS key, 'total ' || c_custkey || chr(10) || c_mktsegment AS content FROM customer"""
@@ -1011,6 +1047,49 @@ def multipage_totals(spark, sf_dir):
     return _multipage(spark, sf_dir)[2]
 
 
+def _bag_sql(source, section, bags):
+    """Element lines of a section: one row per list, in the order of ``bags``."""
+    texts = ", ".join(f"{{'list': {i}, 'text': {text}}}" for i, text in enumerate(bags))
+    first = "row_number() OVER (PARTITION BY doc ORDER BY page_no, pos) = 1"
+    return f"""SELECT doc, {section} AS section, l.list AS list, 1 AS part, page_no AS page, 0 AS doc_no, pos,
+      CASE WHEN nth THEN '' ELSE ',' END || l.text AS line
+      FROM (SELECT doc, page_no, pos, {first} AS nth, unnest([{texts}]) AS l FROM {source})"""
+
+
+_FRAME = [
+    '{"SummaryData": {"Type": [', "],", '"Key": [', "],", '"Value": [', "],", '"KeyConfidence": [', "],", '"ValueConfidence": [', "]},",
+    '"LineItemsData": {"items": [', "],", '"price": [', "],", '"quantity": [', "],", '"items_confidence": [', "],",
+    '"price_confidence": [', "],", '"quantity_confidence": [', "]},",
+]
+_FRAME_SQL = ", ".join(
+    f"{{'section': {i // 10 if i < 10 else 1}, 'list': {(i if i < 10 else i - 10) // 2}, 'part': {i % 2 * 2}, 'line': '{line}'}}"
+    for i, line in enumerate(_FRAME)
+)
+
+
+@query(
+    "WITH "
+    + PAGES_SQL
+    + """, good AS (SELECT * FROM judged WHERE error_type IS NULL), f AS (SELECT doc, page_no, 0 AS pos FROM good), i AS (
+      SELECT doc, page_no, 0 AS pos, 'part ' || part AS items, CAST(cents / 100.0 AS DOUBLE) AS price, CAST(qty AS VARCHAR) AS quantity FROM good
+      UNION ALL SELECT doc, page_no, 1, 'fee', 1.5, '' FROM good WHERE n > 1),
+    t AS (SELECT doc, coalesce(sum(CASE WHEN error_type IS NULL THEN cents + CASE WHEN n > 1 THEN 150 ELSE 0 END END), 0) AS cents
+          FROM judged GROUP BY doc)
+    """
+    + _bag_sql("f", 0, ["'\"PAGE\"'", "'\"Page\"'", "'\"page ' || page_no || '\"'", "'80.0'", "'81.0'"])
+    + " UNION ALL "
+    + _bag_sql("i", 1, ["'\"' || items || '\"'", "CAST(price AS VARCHAR)", "'\"' || quantity || '\"'", "'90.0'", "'90.0'", "'90.0'"])
+    + """ UNION ALL SELECT doc, l.section, l.list, l.part, 0, 0, 0, l.line FROM (SELECT doc, unnest(["""
+    + _FRAME_SQL
+    + """]) AS l FROM t)
+    UNION ALL SELECT doc, 2, 0, 0, 0, 0, 0, '"TotalAmount": ' || CAST(CAST(cents / 100.0 AS DECIMAL(28, 2)) AS VARCHAR) || '}' FROM t"""
+)
+def combined_document(spark, sf_dir):
+    """The JSON of every merged document, line by line with its place."""
+    fields, items, totals, _ = _multipage(spark, sf_dir)
+    return combined.combined_lines(fields, items, totals, "doc", "page_no")
+
+
 @query(
     "WITH "
     + PAGES_SQL
@@ -1030,17 +1109,21 @@ _DAMAGE_SQL = """, damaged AS (SELECT session, path, CASE WHEN k % 29 = 7 THEN '
     WITH
     + _DAMAGE_SQL
     + """SELECT session, 'response' AS stage, CASE WHEN error_message = 'response' THEN 'MalformedJson' ELSE 'MissingField' END
-         AS error_type, error_message FROM damaged WHERE error_message IS NOT NULL"""
+         AS error_type, error_message,
+         CASE error_message WHEN 'response' THEN '{oops' WHEN 'ExpenseDocuments' THEN '{}'
+              ELSE '{"ExpenseDocuments": [{"SummaryFields": []}]}' END AS raw FROM damaged WHERE error_message IS NOT NULL"""
 )
 def quarantine_responses(spark, sf_dir):
     checked = quality.check_responses(derive.damaged_responses(spark, sf_dir), "response")
-    return quality.rejected(checked, "response", ["session"], "response").drop("raw")
+    return quality.rejected(checked, "response", ["session"], "response")
 
 
 @query(
     """SELECT o_orderkey AS k, 'notification' AS stage,
          CASE WHEN o_orderkey % 7 = 1 THEN 'MalformedJson' ELSE 'MissingField' END AS error_type,
-         CASE WHEN o_orderkey % 7 = 1 THEN 'notification' WHEN o_orderkey % 7 = 2 THEN 'Records' ELSE 'key' END AS error_message
+         CASE WHEN o_orderkey % 7 = 1 THEN 'notification' WHEN o_orderkey % 7 = 2 THEN 'Records' ELSE 'key' END AS error_message,
+         CASE WHEN o_orderkey % 7 = 1 THEN '{oops' WHEN o_orderkey % 7 = 2 THEN '{"Records": []}'
+              ELSE '{"Records": [{"s3": {"bucket": {"name": "b"}, "object": {}}}]}' END AS raw
        FROM orders WHERE o_orderkey % 7 IN (1, 2, 3)"""
 )
 def quarantine_notifications(spark, sf_dir):
@@ -1053,7 +1136,7 @@ def quarantine_notifications(spark, sf_dir):
         .otherwise(good)
     )
     events = derive.table(spark, sf_dir, "orders").select(k.alias("k"), event.alias("event"))
-    return quality.rejected(quality.check_notifications(events), "notification", ["k"], "event").drop("raw")
+    return quality.rejected(quality.check_notifications(events), "notification", ["k"], "event")
 
 
 # --- keys ---------------------------------------------------------------------------------------
