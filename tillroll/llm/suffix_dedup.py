@@ -18,14 +18,18 @@ single strings are ranked by themselves, once per different surroundings.
 A position comes with the fingerprints of its blocks, so Spark shuffles once by
 the first rank and the later rounds sort inside a bucket. Equal texts are
 ranked once: all of a text that has a copy is removed. So a group of copies
-weighs no more than one text, and a bucket holds positions of distinct texts.
+weighs no more than one text, and a bucket holds positions of distinct texts. Of
+the positions of one text that agree in all blocks and surroundings, as in a run of
+one byte, two are sent for all; the others take over what is found for them.
 
 Ranks are 64-bit fingerprints; two different strings of a corpus of n positions
 fall together with a chance of n**2 / 2**65.
 
 Defined results: a null text is an empty one; texts shorter than ``length`` keep
 all bytes; repeated rows are copies of each other; an empty table gives an empty
-result; extra columns are ignored; texts are read whole.
+result; extra columns are ignored; texts are read whole. In the remaining text,
+where a cut goes through a character, what is left of it reads as U+FFFD; the
+checksum is that of the exact bytes.
 """
 
 from __future__ import annotations
@@ -36,6 +40,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillroll.llm.common import RollingHash, materialize, mixed, table, whole_text
@@ -216,7 +221,7 @@ def _send_positions(length: int, parts: int):
             texts = dict(zip(batch.column("text_id").to_pylist(), range(batch.num_rows)))  # equal texts once
             for text_id, row in texts.items():
                 ids.append(text_id)
-                records.append(tool.positions(_bytes(batch.column("text")[row])))
+                records.append(_two_of_each(tool.positions(_bytes(batch.column("text")[row]))))
                 size += records[-1].nbytes
                 if size > 8 << 20:
                     yield _packed(ids, records, parts)
@@ -230,6 +235,34 @@ def _bytes(text: pa.Scalar) -> np.ndarray:
     return np.frombuffer(text.as_py().encode(), np.uint8)
 
 
+def _unzipped(text: pa.Scalar) -> bytes:
+    return zstandard.decompress(text.as_py())
+
+
+def _classes(positions: np.ndarray) -> np.ndarray:
+    """Positions of a text that agree in everything share a number."""
+    return ranked(positions["rank"], positions["next"], positions["around"])[0]
+
+
+def _two_of_each(positions: np.ndarray) -> np.ndarray:
+    """Two are enough to see that a class repeats."""
+    if len(positions) < 3:
+        return positions
+    classes = _classes(positions)
+    order = np.argsort(classes, kind="stable")
+    third = np.zeros(len(order), bool)
+    third[2:] = classes[order][2:] == classes[order][:-2]
+    return positions[np.sort(order[~third])]
+
+
+def _all_of_each(positions: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Places of all positions whose class has one of the places ``at``."""
+    classes = _classes(positions)
+    told = np.zeros(int(classes.max(initial=-1)) + 1, bool)
+    told[classes[np.isin(positions["at"], at)]] = True
+    return positions["at"][told[classes]]
+
+
 def _double(group: pa.Table) -> pa.Table:
     """The rounds of one bucket: what repeats around an anchor, and whose strings are to be ranked."""
     records, owner, ids = _unpacked(group, _POSITION)
@@ -261,7 +294,7 @@ def _send_strings(length: int, parts: int):
                 asked = told["at"][(told["flags"] & _ASKED) > 0]
                 if len(asked):
                     ids.append(text_id.as_py())
-                    records.append(tool.strings(_bytes(text), asked))
+                    records.append(tool.strings(np.frombuffer(_unzipped(text), np.uint8), asked))
                     size += records[-1].nbytes
                 if size > 8 << 20:
                     yield _packed(ids, records, parts)
@@ -294,13 +327,17 @@ def spans_of(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
 
 def _remove(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window = anchors(length).window
+        tool = anchors(length)
+        window = tool.window
         for batch in batches:
             spans, removed, kept = [], [], []
             for text, found, strings in zip(*(batch.column(c) for c in ("text", "found", "strings"))):
-                data = text.as_py().encode()
+                data = _unzipped(text)
                 told = _joined(found, _FOUND)
-                at = told["at"][(told["flags"] & _REPEATED) > 0].astype(np.int64)
+                at = told["at"][(told["flags"] & _REPEATED) > 0]
+                if len(at):
+                    at = _all_of_each(tool.positions(np.frombuffer(data, np.uint8)), at)
+                at = at.astype(np.int64)
                 own = _joined(strings, np.dtype("<u4")).astype(np.int64)
                 starts = np.r_[np.maximum(at - window + 1, 0), own]
                 ends = np.r_[np.minimum(at, len(data) - length), own] + length
@@ -329,20 +366,57 @@ def _remove(length: int):
 _REMOVED = "text_id BINARY, spans ARRAY<STRUCT<start: BIGINT, stop: BIGINT>>, n_removed BIGINT, kept_sha256 STRING"
 
 
+_ROW = "n_bytes BIGINT, sha STRING, text_id BINARY, zipped BINARY"
+
+
+def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as they travel: compressed, half of what a shuffle would make of them."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        texts = [t.as_py().encode() for t in batch.column("text")]
+        digests = [hashlib.sha256(t) for t in texts]
+        columns = [
+            batch.column("key"),
+            pa.array([len(t) for t in texts], pa.int64()),
+            pa.array([d.hexdigest() for d in digests], pa.string()),
+            pa.array([d.digest()[:_ID] for d in digests], pa.binary()),
+            pa.array([squeeze(t) for t in texts], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["key", "n_bytes", "sha", "text_id", "zipped"])
+
+
+def _keep_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = []
+        for zipped, spans, n_bytes in zip(batch.column("zipped"), batch.column("spans").to_pylist(), batch.column("n_bytes").to_pylist()):
+            if spans and spans[0]["start"] == 0 and spans[0]["stop"] == n_bytes:
+                texts.append("")
+                continue
+            data, last, kept = _unzipped(zipped), 0, []
+            for span in spans:
+                kept.append(data[last : span["start"]])
+                last = span["stop"]
+            kept.append(data[last:])
+            texts.append(b"".join(kept).decode(errors="replace"))
+        names = ["key", "n_bytes", "n_removed", "spans", "kept_sha256"]
+        columns = [*(batch.column(n) for n in names), pa.array(texts, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, names=[*names, "text"])
+
+
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """key, n_bytes, n_removed, spans (byte ranges to remove) and kept_sha256 of every row."""
+    """key, n_bytes, n_removed, spans (byte ranges to remove), kept_sha256 and the remaining text of every row."""
     whole = whole_text(text)
-    sha = F.sha2(whole, 256)
-    text_id = F.substring(F.unhex(sha), 1, _ID)
-    rows = docs.select(F.col(key).alias("key"), F.octet_length(whole).cast("bigint").alias("n_bytes"), sha.alias("sha"), text_id.alias("text_id"))
+    kind = docs.schema[key].dataType.simpleString()
+    rows = docs.select(F.col(key).alias("key"), whole.alias("text")).mapInArrow(_zip, f"key {kind}, {_ROW}")
+    text_id = F.substring(F.unhex(F.sha2(whole, 256)), 1, _ID)
     texts = docs.select(whole.alias("text"), text_id.alias("text_id")).filter(F.octet_length("text") >= length)
-    size = rows.agg(F.sum("n_bytes").alias("n")).first().n or 0
+    size = docs.agg(F.sum(F.octet_length(whole)).alias("n")).first().n or 0
     parts = max(1, -(-size // BUCKET_BYTES)) * 2
 
     sent = texts.mapInArrow(_send_positions(length, parts), _PACKED)
     told = sent.groupBy("part").applyInArrow(_double, _BY_TEXT)
     per_text = told.groupBy("text_id").agg(F.collect_list("found").alias("found"))  # at most one entry per bucket
-    once = texts.groupBy("text_id").agg(F.first("text").alias("text"))
+    once = rows.filter(F.col("n_bytes") >= length).groupBy("text_id").agg(F.first("zipped").alias("text"))
     near = materialize(once.join(per_text, "text_id"), "repeating-texts")
 
     strings = near.mapInArrow(_send_strings(length, parts), _PACKED)
@@ -351,22 +425,26 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     removed = near.join(own, "text_id", "left").mapInArrow(_remove(length), _REMOVED)
 
     # A text with a copy goes whole; only counts of copies are needed for that.
-    copies = rows.groupBy("text_id").agg(F.count(F.lit(1)).alias("copies"))
+    copies = docs.select(text_id.alias("text_id")).groupBy("text_id").agg(F.count(F.lit(1)).alias("copies"))
     facts = materialize(copies.join(removed, "text_id", "left"), "text-facts")
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     everything = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n_bytes").alias("stop")))
     none = F.array().cast("array<struct<start: bigint, stop: bigint>>")
-    return rows.join(facts, "text_id").select(
-        F.col("key").alias(key),
+    found = rows.join(facts, "text_id").select(
+        "key",
         "n_bytes",
         F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(gone, everything).otherwise(F.coalesce("spans", none)).alias("spans"),
         F.when(gone, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
+        "zipped",
     )
+    spans = "ARRAY<STRUCT<start: BIGINT, stop: BIGINT>>"
+    schema = f"key {kind}, n_bytes BIGINT, n_removed BIGINT, spans {spans}, kept_sha256 STRING, text STRING"
+    return found.mapInArrow(_keep_text, schema).withColumnRenamed("key", key)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeated_spans(table(spark, sf_dir, "documents"))
     return found.select(
-        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256"
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256", "text"
     )
