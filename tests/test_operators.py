@@ -373,3 +373,42 @@ def test_pages_without_a_document_id_and_clashing_columns(spark):
 def test_a_page_with_a_missing_pixel_has_no_hash(spark):
     df = spark.createDataFrame([([1.0, None, 3.0],), ([1.0, 2.0, 6.0],), ([],), (None,)], "px ARRAY<DOUBLE>")
     assert [r[0] for r in df.select(average_hash(F.col("px"))).collect()] == [None, "001", "", None]
+
+
+def test_numbers_go_on_over_batches_and_stay(spark):
+    import tempfile
+
+    out = tempfile.mkdtemp(prefix="run-")
+
+    def batch(number, values):
+        rows = spark.createDataFrame([(v,) for v in values], "v INT").repartition(3)
+        return sorted((r.id, r.v) for r in keys.number_batch(rows, ["v"], "id", out, number).collect())
+
+    first = batch(0, [30, 10, 20])
+    assert first == [(1, 10), (2, 20), (3, 30)]
+    assert batch(1, []) == []
+    assert batch(2, [5, 15]) == [(4, 5), (5, 15)]
+    # A rerun keeps its numbers, whatever it is given; what comes next goes on.
+    assert batch(0, [1, 2]) == first and batch(2, [5, 15]) == [(4, 5), (5, 15)]
+    assert batch(7, [99]) == [(6, 99)]
+    with pytest.raises(ValueError, match="batch 5 comes after"):
+        batch(5, [1])
+
+
+def test_nested_labels_are_cleaned_at_any_depth(spark):
+    from tillroll.functions.text import clean_nested_labels
+
+    def plain(value):
+        if isinstance(value, list):
+            return [plain(v) for v in value]
+        return " ".join("".join(c for c in value if (c.isascii() and c.isalnum()) or c.isspace()).split()) if isinstance(value, str) else value
+
+    deep = ["a  b!", 1, None, True, {"k \"{ y": ["x  y!"], "z": {"q": "  !"}}, "after  it?"]
+    for _ in range(40):
+        deep = [deep, "n\u00e9st  \"ed\" {x}", []]
+    cases = [[], ["*"], deep, ["{", "}", "\\"], [[["\n A\t\tB "]]]]
+    texts = [json.dumps(c) for c in cases] + ["{}", '"x"', "[oops", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING")
+    got = [r[1] for r in sorted(df.select("i", clean_nested_labels(F.col("t"))).collect())]
+    assert [json.loads(g) for g in got[: len(cases)]] == [plain(c) for c in cases]
+    assert got[len(cases) :] == [None] * 4

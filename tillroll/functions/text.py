@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from tillroll.functions.binding import let
+
 # Fixed value: regex class members that equal Unicode-aware ``\s``. Java's own
 # ``\s`` covers ASCII only, so separators and the four control separators are added.
 SPACE = r"\s\p{Z}\x1c-\x1f\x85"
@@ -75,3 +77,40 @@ def quoted_values(text: Column) -> Column:
 
 def clean_address(address: Column) -> Column:
     return F.regexp_replace(address, "\n", " ")
+
+
+# A string of JSON text; an object's brace; whatever lies between.
+_JSON_TOKENS = r'"(?:[^"\\]|\\.)*"|[{}]|[^"{}]+'
+
+
+def clean_nested_labels(nested: Column) -> Column:
+    """``clean_label`` on every string of a JSON list, at any depth of lists.
+
+    Takes and returns JSON text; a list stays as it is but for its strings. What
+    lies inside an object is left alone, and so are numbers, booleans and nulls.
+    NULL where the text is no JSON list. The text is cut into tokens once, so
+    depth costs nothing and needs no recursion.
+    """
+
+    def cleaned(token: Column) -> Column:
+        text = F.from_json(F.concat(F.lit("["), token, F.lit("]")), "ARRAY<STRING>")
+        listed = F.to_json(F.array(clean_label(F.get(text, 0))))
+        return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+    def token_kind(token: Column) -> Column:
+        return F.when(token == "{", 1).when(token == "}", -1).otherwise(0)
+
+    def rewritten(tokens: Column) -> Column:
+        # Objects are rare in lists of labels; only where there is one is its depth followed.
+        flat = F.transform(tokens, lambda t: F.when(t.startswith('"'), cleaned(t)).otherwise(t))
+        start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("out"))
+
+        def step(state: Column, t: Column) -> Column:
+            kept = F.when(t.startswith('"') & (state["depth"] == 0), cleaned(t)).otherwise(t)
+            return F.struct((state["depth"] + token_kind(t)).alias("depth"), F.concat(state["out"], F.array(kept)).alias("out"))
+
+        followed = F.aggregate(tokens, start, step, lambda state: state["out"])
+        return F.array_join(F.when(F.array_contains(tokens, "{"), followed).otherwise(flat), "")
+
+    is_list = F.try_parse_json(nested).isNotNull() & nested.rlike(r"\A\s*\[")
+    return F.when(is_list, let(F.regexp_extract_all(nested, F.lit(_JSON_TOKENS), F.lit(0)), rewritten))

@@ -1148,3 +1148,16 @@ def quarantine_notifications(spark, sf_dir):
 def surrogate_key(spark, sf_dir):
     orders = derive.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
     return keys.surrogate_key(orders, ["o_custkey", "o_orderkey"], "id")
+
+
+@query(
+    """SELECT row_number() OVER (ORDER BY o_orderkey % 3, o_orderkey) AS id, o_orderkey % 3 AS batch, o_orderkey FROM orders"""
+)
+def number_batches(spark, sf_dir):
+    """Three batches, the last delivered twice: one dense range."""
+    out = work_path(spark, "numbered")
+    orders = derive.table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 3).alias("batch"), "o_orderkey")
+    parts = []
+    for batch in (0, 1, 2, 2):
+        parts.append(keys.number_batch(orders.filter(F.col("batch") == batch), ["o_orderkey"], "id", out, batch))
+    return parts[0].unionByName(parts[1]).unionByName(parts[3])

@@ -443,3 +443,22 @@ def preview_limit(spark, sf_dir):
     return base.select(
         "session", "c_name", F.col("o_orderdate").cast("date").alias("odate")
     ).orderBy("session").limit(10)
+
+
+@query(
+    """SELECT event_id, '[' || to_json(trim(regexp_replace(event_type || ' ' || event_id, '[^a-zA-Z0-9 ]', '', 'g'))) || ', [1.5, ['
+         || to_json(event_type || ' k' || (event_id % 7)) || ', null, true], []], ' || props || ']' AS labels FROM events"""
+)
+def clean_nested_labels(spark, sf_dir):
+    """Strings at every depth are cleaned; numbers, nulls and objects stay."""
+    noisy = F.concat(F.lit(" * "), "event_type", F.lit("  !! "), F.col("event_id"), F.lit("? "))
+    inner = F.concat("event_type", F.lit("\n\t k"), F.col("event_id") % 7, F.lit("%"))
+
+    def quoted(value):
+        listed = F.to_json(F.array(value))
+        return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+    nested = F.concat(
+        F.lit("["), quoted(noisy), F.lit(", [1.5, ["), quoted(inner), F.lit(", null, true], []], "), "props", F.lit("]")
+    )
+    return derive.table(spark, sf_dir, "events").select("event_id", text.clean_nested_labels(nested).alias("labels"))
