@@ -58,3 +58,16 @@ def test_error_bound_holds():
     approx = (a.codes.astype(np.float32) @ b.codes.astype(np.float32).T) * a.scale[:, None] * b.scale
     true = (a.vectors / a.norms[:, None]) @ (b.vectors / b.norms[:, None]).T
     assert (np.abs(approx - true) <= a.rest[:, None] + a.coded[:, None] * b.rest + 1e-6).all()
+
+
+def test_repeated_query_rows_and_extreme_components(spark):
+    rows = [
+        (0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [1.0, 0.0]),
+        (1, [1.0, 0.1]), (2, [1.0, 0.2]), (3, [1.0, 0.3]),
+        (4, [1e300, 4e299]), (5, [1e-200, 5e-201]), (6, [-5e-324, 0.0]), (7, [1.7e308, -1.7e308]),
+    ]
+    df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>").repartition(3)
+    got = sorted((r.rank, r.vec_id, round(r.score, 12)) for r in B.neighbours(df, df.filter("vec_id = 0"), 7).collect())
+    cosine = lambda y: round(1 / (1 + y * y) ** 0.5, 12)
+    want = [(1, cosine(0.1)), (2, cosine(0.2)), (3, cosine(0.3)), (4, cosine(0.4)), (5, cosine(0.5)), (7, cosine(1.0)), (6, -1.0)]
+    assert got == [(i + 1, *w) for i, w in enumerate(want)]

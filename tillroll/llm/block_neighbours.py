@@ -14,8 +14,9 @@ Results are exact, not approximate: no candidate is dropped by a guess.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite
 components take no part, nor do rows without an id; rows that repeat a query's
-id count as its own; vectors are compared only with vectors of their length;
-equal scores go to the smaller id; an empty table gives an empty result; extra
+id count as its own; a query id on several rows is one query, of the smallest
+vector if they differ; finite components of any size are exact to a double's
+digits; vectors are compared only with vectors of their length; equal scores go to the smaller id; an empty table gives an empty result; extra
 columns are ignored.
 """
 
@@ -48,6 +49,9 @@ class Codes:
     """int8 codes of vectors, what they leave out, and the vectors themselves."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        # By a power of two, which changes no digit, so that no square is beyond a double.
+        _, exponent = np.frexp(np.abs(vectors).max(1))
+        vectors = np.ldexp(vectors, -exponent[:, None])
         self.ids, self.vectors = ids, vectors
         self.norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
         unit = vectors / self.norms[:, None]
@@ -122,8 +126,9 @@ def _tiles(k: int):
 def neighbours(
     vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
-    """query_id, rank, vec_id, score: the k vectors of largest cosine for each query row."""
-    candidates, wanted = usable(vectors, key, vector), usable(queries, key, vector)
+    """query_id, rank, vec_id, score: the k vectors of largest cosine for each query id."""
+    candidates = usable(vectors, key, vector)
+    wanted = usable(queries, key, vector).groupBy("id").agg(F.min("v").alias("v"))
     # Two counts decide the grid, so that a tile has the same size whatever the input.
     n_candidates, n_queries = candidates.count(), wanted.count()
     rows = max(1, -(-n_queries // QUERY_BLOCK))

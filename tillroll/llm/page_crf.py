@@ -254,7 +254,7 @@ def block_features(blocks: list[Block]) -> list[list[int]]:
         say("copyright", "©" in b.text or "(c) " in b.text.lower())
         say("pipes", "|" in b.text or "·" in b.text or "»" in b.text[:-1])
         say("upper", b.text.isupper())
-        say("digits", sum(c.isdigit() for c in b.text[:200]) * 4 > min(len(b.text), 200))
+        say("digits", sum(c.isdigit() for c in b.text) * 4 > len(b.text))
         say("furniture", words < 40 and bool(_FURNITURE.search(b.text)))
         say("first", n == 0)
         say("last", n == len(blocks) - 1)
