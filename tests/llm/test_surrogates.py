@@ -126,3 +126,54 @@ def test_names_grow_with_the_attempts(spark):
     rows = entities(spark, "surname", ["smith"]).selectExpr("kind", "norm", "explode(sequence(4, 24)) AS attempt")
     made = rows.select(S.surrogate(S.F.col("kind"), S.F.col("norm"), S.F.col("attempt"), "k").alias("s")).collect()
     assert all(len(r.s) >= 3 * (4 + i) for i, r in enumerate(made)) and len(made) == 21
+
+
+def test_whole_names(spark):
+    texts = [
+        "Mrs. Anna Maria Schmidt, Mr. J. Smith, Dr. Martin L. King and Prof. Dr. von Braun.",
+        "Smith came late. My name is John Miller. Miller, not Millers; I met Mr. Smith's aunt, Mrs. O'Neil-Bond; O'Neil-Bond left.",
+        "Mr. Smith She said so. Mr. Smith Dr. Jones. JONES",
+        "Smith is a common word here, and Braun too.",
+        "Frau Dr. Anna-Lena Müller; Müller. Ich heiße Jonas. Jonas",
+        "Mr. Smith@x.example.com Smith.lee@x.example.com Smith",
+    ]
+    got = run(spark, texts)
+    word = r"([A-Z][a-z]+)"
+    m = re.fullmatch(rf"Mrs\. {word} {word} {word}, Mr\. ([A-Z])\. {word}, Dr\. {word} ([A-Z])\. {word} and Prof\. Dr\. von {word}\.", got[0].text)
+    assert m and not {"Anna", "Maria", "Schmidt", "Smith", "Martin", "King", "Braun"} & set(m.groups()) and m[4] != "J" and m[7] != "L" and m[4] != m[7]
+    assert got[0].n_entities == 7
+    smith = m[5]
+    m = re.fullmatch(rf"{word} came late\. My name is {word} {word}\. {word}, not Millers; I met Mr\. {word}'s aunt, Mrs\. {word}; {word} left\.", got[1].text)
+    assert m[1] == m[5] == smith and m[3] == m[4] != "Miller" and m[6] == m[7] and m[2] != "John"
+    m = re.fullmatch(rf"Mr\. {word} She said so\. Mr\. {word} Dr\. {word}\. ([A-Z]+)", got[2].text)
+    assert m[1] == m[2] == smith and m[3].upper() == m[4] != "JONES"
+    assert got[3].text == texts[3] and got[3].n_entities == 0
+    m = re.fullmatch(rf"Frau Dr\. {word} {word}; {word}\. Ich heiße {word}\. {word}", got[4].text)
+    assert m[2] == m[3] and m[4] == m[5] != "Jonas"
+    # A mail address is no name, so the word alone is none either.
+    assert re.fullmatch(r"Mr\. [a-z]{5}@[a-z]\.[a-z]{7}\.com [a-z]{5}\.[a-z]{3}@[a-z]\.[a-z]{7}\.com Smith", got[5].text.lower().replace("smith", "Smith")) and got[5].n_entities == 2
+
+
+def test_phones_with_spaces_and_ipv6(spark):
+    texts = [
+        "Call 555 123 4567, 01 23 45 67 89 or 0171 5557713; 555-123-4567.",
+        "Host 2001:db8:0:0:0:ff00:42:8329, fe80::1ff:fe23:4567:890a or FE80::1FF:FE23:4567:890A.",
+        "At 12:30:45, x[10::2], std::min, 00:1a:2b:3c:4d:5e, 1 234 567 890, 2024 2025 2026, face::off",
+    ]
+    got = run(spark, texts)
+    m = re.fullmatch(r"Call (\d{3} \d{3} \d{4}), (\d\d(?: \d\d){4}) or (\d{4} \d{7}); (\d{3}-\d{3}-\d{4})\.", got[0].text)
+    assert m[1].replace(" ", "") == m[4].replace("-", "") != "5551234567" and m[2] != "01 23 45 67 89" and m[3] != "0171 5557713"
+    h = r"[0-9a-f]"
+    m = re.fullmatch(rf"Host ({h}{{4}}:{h}{{3}}:{h}:{h}:{h}:{h}{{4}}:{h}{{2}}:{h}{{4}}), ({h}{{4}}::{h}{{3}}:{h}{{4}}:{h}{{4}}:{h}{{4}}) or (\S+)\.", got[1].text)
+    assert m[2].upper() == m[3] != "FE80::1FF:FE23:4567:890A"
+    assert got[2].text == texts[2] and got[2].n_entities == 0
+
+
+def test_clashing_columns(spark):
+    columns = "_found STRING, n_entities STRING, _text_id INT, text STRING, _row INT, _tail INT, kind STRING, nth INT, _text STRING"
+    docs = spark.createDataFrame([("f", "n", 1, "Mr. Smith. Smith", 2, 3, "k", 4, "t"), ("f", "n", 1, None, 2, 3, "k", 4, "t")], columns)
+    out = S.masked(docs)
+    assert out.columns == ["_found", "_text_id", "text", "_row", "_tail", "kind", "nth", "_text", "n_entities"]
+    a, b = sorted(out.collect(), key=lambda r: r.n_entities)
+    assert (a.text, a.n_entities, b.n_entities) == (None, 0, 2) and "Smith" not in b.text
+    assert all((r._found, r._text_id, r._row, r._tail, r.kind, r.nth, r["_text"]) == ("f", 1, 2, 3, "k", 4, "t") for r in (a, b))

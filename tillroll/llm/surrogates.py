@@ -1,8 +1,13 @@
 """Personal data replaced by surrogates: keyed, of the same kind and format, and consistent.
 
 Entities are e-mail addresses, phone numbers, IP addresses, card numbers, social
-security numbers, bank account numbers and names after a form of address. Each
-distinct entity of the corpus gets one surrogate, derived from a key and the
+security numbers, bank account numbers and names of persons. A name is the run of
+capitalised words, initials and particles after forms of address ("Prof. Dr.") or
+words of introduction ("my name is"); its last word is the surname, unless it is
+the only one after an introduction. Every other place of the same text that holds
+one of these words, capitalised, is a mention of that person.
+
+Each distinct entity of the corpus gets one surrogate, derived from a key and the
 entity by SHA-256, so the same entity is the same surrogate in all documents
 (coreference), whatever its spelling: numbers are told apart by their digits,
 addresses and names without regard to case. Names are mapped by part, so a
@@ -12,6 +17,8 @@ Surrogates keep kind and format: digits stay digits and separators stay in
 place, letters keep case and script, e-mail addresses keep their last label,
 phone numbers their country code, card and account numbers are valid exactly if
 the original is, given names keep the gender that the form of address tells.
+Initials move in their alphabet by a keyed step, which keeps them distinct;
+particles ("von") stay.
 
 Collision checks: a surrogate that another entity of the kind has got, or that
 is itself an entity of the corpus, is drawn again with the next attempt number
@@ -23,15 +30,20 @@ a form without enough free values is an error.
 Everything is columns and joins. Only documents with entities are shuffled, by
 the hash of their text; a text that many documents share is worked on once, and
 the join that brings it back to them is one the adaptive planner can split.
+Mentions are found by a join of a text's words with its names, so a text of many
+names costs what it is long.
 
 Defined results: null and empty texts and texts without entities stay as they
 are; repeated rows are masked alike; an empty table gives an empty result; other
-columns are kept, ``n_chars`` is set anew where the text changed; texts are read
-whole.
+columns are kept, whatever their names, ``n_chars`` is set anew where the text
+changed, a column ``n_entities`` is replaced; texts are read whole.
+``n_entities`` counts replaced values, mentions included and initials not.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tillroll.llm.common import materialize, table, whole_text
@@ -41,6 +53,8 @@ KEY = "set a key of your own"
 WIDER = 8
 # Cards, accounts and IP addresses keep their form; so many clashes in a row mean that it is full.
 ROUNDS = 200
+# Entities whose surrogates one task draws, while there are enough tasks.
+ROWS_A_TASK = 5_000
 
 # --- detection ------------------------------------------------------------------------
 
@@ -48,9 +62,17 @@ ROUNDS = 200
 MALE = "Mr|Mister|Sir|Herr|Señor|Sr|Monsieur|Signor|г-н|господин|κύριος|Κύριος"
 FEMALE = "Mrs|Ms|Miss|Frau|Señora|Señorita|Sra|Madame|Mme|Mlle|Signora|г-жа|госпожа|κυρία|Κυρία"
 EITHER = "Mx|Dr|Prof|Doctor|Professor|Dra"
-_FORMS = f"{MALE}|{FEMALE}|{EITHER}"
-_ADDRESSED = rf"(?<![\p{{L}}\p{{N}}])(?:{_FORMS})\.? "
-_LETTERS = r"[\p{L}'’-]{1,40}"
+INTRODUCED = "My name is|my name is|Mein Name ist|mein Name ist|Ich heiße|ich heiße|Je m'appelle|je m'appelle|Me llamo|me llamo|Меня зовут|меня зовут|Με λένε|με λένε"
+PARTICLES = "von der|von dem|von|van der|van den|van|zu|de la|de los|de|del|della|di|da|dos|du|la|le|ten|ter|bin|al"
+# Capitalised words that begin a sentence and are no part of a name.
+OPENERS = "He|She|It|The|They|We|You|And|But|In|On|At|An|As|If|His|Her|This|That|Er|Sie|Es|Der|Die|Das|Il|Elle|El|Ella|Он|Она"
+_FORMS = f"{MALE}|{FEMALE}|{EITHER}|{INTRODUCED}"
+_HEAD = rf"(?:(?:{_FORMS})\.? )"
+_WORD = r"(?:\p{Lu}\p{L}{1,40}+|\p{Lu}['’]\p{Lu}\p{L}{1,40}+)(?:-\p{Lu}\p{L}{1,40}+)*+"
+_NAME = rf"(?!(?:{OPENERS}|{_FORMS})(?!\p{{L}})){_WORD}"
+# What follows is no more of the word, nor the rest of a mail address.
+_WORD_ENDS = r"(?![\p{L}\p{N}]|[\p{L}\p{N}._%+-]{0,255}+@)"
+_HEX = "[0-9A-Fa-f]{1,4}"
 
 # Each starts with a test of one character, so that most places cost little; what stands before is looked at then.
 PATTERNS = {
@@ -58,36 +80,36 @@ PATTERNS = {
     "iban": r"[A-Z](?<![\p{L}\p{N}][A-Z])[A-Z][0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])",
     "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![\p{L}\p{N}]|\.[0-9])",
-    "phone": r"(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|(?<![\p{L}\p{N}])\([0-9]{2,4}\) ?[0-9]{3,4}[ .-][0-9]{3,4}|(?<![\p{L}\p{N}.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\p{L}\p{N}])",
+    "phone": r"(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|(?<![\p{L}\p{N}])\([0-9]{2,4}\) ?[0-9]{3,4}[ .-][0-9]{3,4}|(?<![\p{L}\p{N}.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}"
+    # National numbers with spaces: groups of 3, 3 and 4, five pairs, an area and one block.
+    r"|(?<![\p{L}\p{N}.-])(?<![0-9] )(?:[0-9]{3} [0-9]{3} [0-9]{4}|0[0-9](?: [0-9]{2}){4}|0[1-9][0-9]{1,3}[ /-][0-9]{5,8})(?! ?[0-9]))(?![\p{L}\p{N}])",
     "card": r"(?<![\p{L}\p{N}])[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}])",
-    # A name after a form of address, or after such a name; the long looks back come last.
-    "name": rf"\p{{Lu}}(?<= \p{{Lu}})(?:(?<={_ADDRESSED}\p{{Lu}})|(?<={_ADDRESSED}\p{{Lu}}{_LETTERS} \p{{Lu}})){_LETTERS}",
+    "ipv6": rf"(?=[A-Fa-f:]{{0,39}}+[0-9])(?<![\p{{L}}\p{{N}}:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?:[0-9A-Fa-f]{{3,4}}|{_HEX}(?::{_HEX}){{1,6}})::(?:{_HEX}(?::{_HEX}){{0,6}})?)(?![\p{{L}}\p{{N}}:])",
+    "name": rf"(?<![\p{{L}}\p{{N}}]){_HEAD}{{1,3}}(?:(?:(?:{PARTICLES})|\p{{Lu}}\.|{_NAME}) ){{0,5}}{_NAME}{_WORD_ENDS}",
 }
-_NUMBERS = "|".join(f"(?:{PATTERNS[k]})" for k in ("ssn", "ip", "phone", "card"))
-ENTITY = f"(?:{PATTERNS['email']})|(?:{PATTERNS['iban']})|(?=[0-9+(])(?:{_NUMBERS})|(?:{PATTERNS['name']})"
-# Every entity holds a digit, an at sign, or stands after a form of address: a quick look at a text.
 _STARTS = "".join(sorted({f[0] for f in _FORMS.split("|")}))
-HINT = rf"[0-9@]|(?=[{_STARTS}])(?:{_FORMS})\.? \p{{Lu}}"
+_NUMBERS = "|".join(f"(?:{PATTERNS[k]})" for k in ("ssn", "ip", "phone", "card"))
+ENTITY = f"(?:{PATTERNS['email']})|(?:{PATTERNS['iban']})|(?:{PATTERNS['ipv6']})|(?=[0-9+(])(?:{_NUMBERS})|(?=[{_STARTS}])(?:{PATTERNS['name']})"
+MENTION = rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}]){_WORD}{_WORD_ENDS}"
+# Every entity holds a digit, an at sign, or a form of address: a quick look at a text.
+HINT = rf"[0-9@]|(?=[{_STARTS}])(?:{_FORMS})\.? \p{{L}}"
+NAME_KINDS = ("surname", "given", "given_m", "given_f")
 
 
 def holds_entity(text: str) -> Column:
     return F.coalesce(F.col(text).rlike(HINT) & F.col(text).rlike(ENTITY), F.lit(False))
 
 
-def _kind(value: Column, before: Column, after: Column) -> Column:
-    """The kind of a match; for a name, which part of it, of which gender."""
-
-    # Phone numbers that stand alone: with a code, an area in brackets, or three groups.
-    phone = value.rlike(r"^(?:\+|\(|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}$)")
-
-    def addressed(by: str) -> Column:
-        return before.rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{by})\.? $")
+def _kind(value: Column) -> Column:
+    """The kind of a match: ``person`` for a whole name, ``mention`` for a word that may be one."""
 
-    given = F.when(addressed(MALE), "given_m").when(addressed(FEMALE), "given_f").otherwise("given")
+    # Phone numbers that stand alone: with a code, an area in brackets, or the groups of a country.
+    phone = value.rlike(r"^(?:\+|\(|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}$|0[0-9](?: [0-9]{2}){4}$|0[1-9][0-9]{1,3}[ /-][0-9]{5,8}$)")
     return (
         F.when(value.contains("@"), "email")
-        .when(value.rlike(r"^\p{L}{2}[0-9]{2}"), "iban")
-        .when(value.rlike(r"^\p{L}"), F.when((before == " ") | (after != " "), "surname").otherwise(given))
+        .when(value.rlike(r"^\p{L}{2}[0-9]{2}[ A-Z0-9]"), "iban")
+        .when(value.contains(":"), "ipv6")
+        .when(value.rlike(r"^\p{L}"), F.when(value.contains(" "), "person").otherwise("mention"))
         .when(value.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
         .when(value.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), "ip")
         .when(phone, "phone")
@@ -95,8 +117,35 @@ def _kind(value: Column, before: Column, after: Column) -> Column:
     )
 
 
-def _is_name(value: Column) -> Column:
-    return value.rlike(r"^\p{L}") & ~value.contains("@") & ~value.rlike(r"^\p{L}{2}[0-9]{2}")
+def _initial(value: Column, key: str) -> Column:
+    """The initial some keyed steps on in its alphabet, so different ones stay different."""
+    for alphabet in (_LATIN.upper(), _CYRILLIC.upper(), _GREEK.upper()):
+        step = 1 + int(hashlib.sha256(f"{key}\0initial".encode()).hexdigest(), 16) % (len(alphabet) - 1)
+        value = F.translate(value, alphabet, alphabet[step:] + alphabet[:step])
+    return value
+
+
+def _parts(gap: Column, value: Column, key: str) -> Column:
+    """A name as entries of its words; those without a kind stay as they are given."""
+    head = F.regexp_extract(value, rf"^{_HEAD}{{1,3}}", 0)
+    words = F.split(F.substr(value, F.length(head) + 1, F.length(value)), " ")
+
+    def addressed(by: str) -> Column:
+        return head.rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{by})\.? ")
+
+    given = F.when(addressed(MALE), "given_m").when(addressed(FEMALE), "given_f").otherwise("given")
+
+    def entry(word: Column, i: Column) -> Column:
+        alone = (F.size(words) == 1) & addressed(INTRODUCED)
+        kind = F.when(~word.rlike(r"^\p{Lu}[\p{L}'’]"), F.lit(None)).when((i + 1 == F.size(words)) & ~alone, "surname").otherwise(given)
+        said = F.when(word.rlike(r"^\p{Lu}\.$"), _initial(word, key)).otherwise(word)
+        return _entry(F.when(i == 0, F.concat(gap, head)).otherwise(" "), said, kind)
+
+    return F.transform(words, entry)
+
+
+def _entry(gap: Column, value: Column, kind: Column) -> Column:
+    return F.struct(gap.alias("gap"), value.alias("value"), kind.alias("kind"), _norm(kind, value).alias("norm"))
 
 
 def _norm(kind: Column, value: Column) -> Column:
@@ -107,24 +156,35 @@ def _norm(kind: Column, value: Column) -> Column:
         .when(kind == "phone", F.concat(F.regexp_extract(value, r"^(\+[0-9]{1,3}(?=[ .(-])|)", 1), F.lit("/"), digits))
         .when(kind == "iban", F.regexp_replace(value, " ", ""))
         .when(kind == "ip", value)
-        .otherwise(F.lower(value))
+        .when(kind.isNotNull(), F.lower(value))
     )
 
 
-def with_entities(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Rows that have entities: ``_gaps`` (texts between) and ``_found`` (value, kind, norm), in order."""
-    hit = docs.filter(holds_entity(text))
-    cut = hit.withColumns(
-        {"_gaps": F.split(text, ENTITY, -1), "_values": F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))}
+def with_entities(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
+    """Rows that have entities: ``_row``, ``_text_id``, ``_found`` (gap before, value, kind, norm) in order and ``_tail``.
+
+    Where a word of a name stands elsewhere in the text too, all capitalised
+    words are entries of the kind ``mention``.
+    """
+    hit = docs.filter(holds_entity(text)).select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("_text"))
+    names = F.regexp_extract_all("_text", F.lit(rf"(?=[{_STARTS}])(?:{PATTERNS['name']})"), F.lit(0))
+    named = hit.withColumn("_names", names)
+    words = F.flatten(F.transform("_names", lambda n: F.split(F.regexp_replace(n, rf"^{_HEAD}{{1,3}}", ""), " ")))
+    # The text without its names, so that a name's own words are no mentions.
+    rest = F.regexp_replace("_text", ENTITY, " ")
+    others = F.transform(F.regexp_extract_all(rest, F.lit(MENTION), F.lit(0)), F.lower)
+    again = F.when(F.size("_names") > 0, F.size(F.array_intersect(F.transform(words, F.lower), others)) > 0).otherwise(F.lit(False))
+    pattern = F.when(F.col("_again"), F.lit(f"{ENTITY}|{MENTION}")).otherwise(F.lit(ENTITY))
+    cut = named.withColumn("_again", again).withColumns(
+        {"_gaps": F.split("_text", pattern, -1), "_values": F.regexp_extract_all("_text", pattern, F.lit(0))}
     )
 
-    def described(value: Column, i: Column) -> Column:
-        after = F.when(_is_name(F.try_element_at("_values", i + 2)), F.element_at("_gaps", i + 2)).otherwise("")
-        return F.struct(value.alias("value"), _kind(value, F.element_at("_gaps", i + 1), after).alias("kind"))
+    def entries(value: Column, i: Column) -> Column:
+        gap, kind = F.element_at("_gaps", i + 1), _kind(value)
+        return F.when(kind == "person", _parts(gap, value, key)).otherwise(F.array(_entry(gap, value, kind)))
 
-    found = F.transform("_values", described)
-    named = F.transform(found, lambda e: F.struct(e["value"].alias("value"), e["kind"].alias("kind"), _norm(e["kind"], e["value"]).alias("norm")))
-    return cut.withColumn("_found", named).drop("_values")
+    found = F.flatten(F.transform("_values", entries))
+    return cut.select("_row", F.sha2(whole_text("_text"), 256).alias("_text_id"), found.alias("_found"), F.element_at("_gaps", -1).alias("_tail"))
 
 
 # --- surrogates ---------------------------------------------------------------------------
@@ -256,6 +316,10 @@ def _ip(norm: Column, h: Column) -> Column:
     return F.array_join(F.transform(F.split(norm, r"\."), lambda _, i: (_number(h, i) % 254 + 1).cast("string")), ".")
 
 
+def _ipv6(norm: Column, h: Column) -> Column:
+    return _each(norm, lambda c, i: F.when(c == ":", c).otherwise(_letter("0123456789abcdef", _number(h, i))))
+
+
 def _made_name(kind: str, script: str, h: Column, syllables: Column) -> Column:
     places = F.sequence(F.lit(0), syllables - 1)
     parts = F.array_join(F.transform(places, lambda i: _nth(SYLLABLES[script], _number(h, i))), "")
@@ -279,8 +343,8 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     phone_digits = F.substring_index(norm, "/", -1)
     phone = F.concat(F.substring_index(norm, "/", 1), F.lit("/"), _digits(phone_digits, h, code))
     out = F.when(kind == "email", F.concat(_letters(attempt - (WIDER - 1), h), _email(norm, h))).when(kind == "phone", phone).when(kind == "card", _card(norm, h))
-    out = out.when(kind == "iban", _iban(norm, h)).when(kind == "ip", _ip(norm, h)).when(kind == "ssn", _digits(norm, h, F.lit(0)))
-    for name in ("surname", "given", "given_m", "given_f"):
+    out = out.when(kind == "iban", _iban(norm, h)).when(kind == "ip", _ip(norm, h)).when(kind == "ipv6", _ipv6(norm, h)).when(kind == "ssn", _digits(norm, h, F.lit(0)))
+    for name in NAME_KINDS:
         out = out.when(kind == name, _named(name, norm, h, attempt))
     return out
 
@@ -340,8 +404,14 @@ def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
     return _drawn_until_distinct(rest, entities, key).unionAll(matched)
 
 
+def _spread(entities: DataFrame) -> DataFrame:
+    """Few bytes make much work here, so the number of tasks comes from the number of rows."""
+    most = 20 * int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return entities.repartition(max(1, min(entities.count() // ROWS_A_TASK + 1, most)), "kind", "norm")
+
+
 def _drawn_until_distinct(entities: DataFrame, taken: DataFrame, key: str) -> DataFrame:
-    drawn = entities.withColumn("attempt", F.lit(0))
+    drawn = _spread(entities).withColumn("attempt", F.lit(0))
     first = Window.partitionBy("kind", "surrogate").orderBy("attempt", "norm")
     originals = taken.select("kind", F.col("norm").alias("surrogate"), F.lit(True).alias("taken"))
     for _ in range(ROUNDS):
@@ -365,32 +435,42 @@ def _formatted(kind: Column, value: Column, drawn: Column) -> Column:
         nth = F.length(F.regexp_replace(F.substr(value, F.lit(1), i), F.when(kind == "iban", "[^A-Z0-9]").otherwise("[^0-9]"), ""))
         return F.when(F.regexp_like(c, kept), F.substr(digits, nth, F.lit(1))).otherwise(c)
 
-    cased = F.when(value == F.upper(value), F.upper(drawn)).when(kind != "email", F.initcap(drawn)).otherwise(drawn)
+    cased = F.when(value == F.upper(value), F.upper(drawn)).when(kind.isin(*NAME_KINDS), F.initcap(drawn)).otherwise(drawn)
     return F.when(kind.isin("phone", "card", "ssn", "iban"), _each(value, place)).when(kind == "ip", drawn).otherwise(cased)
 
 
 def masked(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
     """All rows and columns with entities replaced, and ``n_entities``."""
-    columns = docs.columns
-    plain = docs.filter(~holds_entity(text)).withColumn("n_entities", F.lit(0))
-    found = with_entities(docs, text).withColumn("_text_id", F.sha2(whole_text(text), 256))
-    touched = materialize(found, "with-entities")
+    columns = [c for c in docs.columns if c != "n_entities"]
+    plain = docs.filter(~holds_entity(text)).select(*columns, F.lit(0).alias("n_entities"))
+    touched = materialize(with_entities(docs.select(*columns), text, key), "with-entities")
 
     texts = touched.select("_text_id", "_found").dropDuplicates(["_text_id"])
-    listed = texts.select("_text_id", F.posexplode("_found").alias("_nth", "e")).select("_text_id", "_nth", "e.*")
-    drawn = distinct_surrogates(materialize(listed.select("kind", "norm").distinct(), "entities"), key)
-    new = listed.join(drawn, ["kind", "norm"]).select(
-        "_text_id", F.struct("_nth", _formatted(F.col("kind"), F.col("value"), F.col("surrogate")).alias("s")).alias("r")
-    )
-    # One entry per entity of one text.
-    per_text = materialize(new.groupBy("_text_id").agg(F.array_sort(F.collect_list("r")).alias("_new")), "replacements")
-    said = F.concat(F.transform("_new", lambda r: r["s"]), F.array(F.lit("")))
-    rebuilt = F.array_join(F.flatten(F.zip_with("_gaps", said, lambda g, s: F.array(g, s))), "")
-    done = touched.join(per_text, "_text_id").withColumns({text: rebuilt, "n_entities": F.size("_found")})
-    if "n_chars" in columns:
-        kind = docs.schema["n_chars"].dataType
-        done = done.withColumn("n_chars", F.length(text).cast(kind))
-    return plain.select(*columns, "n_entities").unionAll(done.select(*columns, "n_entities"))
+    listed = texts.select("_text_id", F.posexplode("_found").alias("nth", "e")).select("_text_id", "nth", "e.value", "e.kind", "e.norm")
+    listed = materialize(listed, "listed")
+    mention = F.coalesce(F.col("kind") == "mention", F.lit(False))
+    names = listed.filter(F.col("kind").isin(*NAME_KINDS)).groupBy("_text_id", "norm").agg(F.max("kind").alias("named"))
+    known = listed.filter(mention).join(names, ["_text_id", "norm"], "left").select("_text_id", "nth", "value", F.col("named").alias("kind"), "norm")
+    resolved = materialize(listed.filter(~mention).unionByName(known), "resolved")
+
+    wanted = resolved.filter(F.col("kind").isNotNull())
+    drawn = distinct_surrogates(materialize(wanted.select("kind", "norm").distinct(), "entities"), key)
+    said = _formatted(F.col("kind"), F.col("value"), F.col("surrogate"))
+    new = wanted.join(drawn, ["kind", "norm"]).select("_text_id", F.struct("nth", said.alias("s"), F.lit(1).alias("n")).alias("r"))
+    kept = resolved.filter(F.col("kind").isNull()).select("_text_id", F.struct("nth", F.col("value").alias("s"), F.lit(0).alias("n")).alias("r"))
+    # One entry per entity or word of one text.
+    per_text = new.unionAll(kept).groupBy("_text_id").agg(F.array_sort(F.collect_list("r")).alias("_new"), F.sum("r.n").cast("int").alias("_n"))
+    rebuilt = F.concat(F.array_join(F.flatten(F.zip_with("_found", "_new", lambda f, r: F.array(f["gap"], r["s"]))), ""), "_tail")
+    done = touched.join(materialize(per_text, "replacements"), "_text_id").select("_row", rebuilt.alias("_text"), "_n")
+
+    def column(name: str) -> Column:
+        if name == text:
+            return F.col("_text").alias(name)
+        if name == "n_chars":
+            return F.length("_text").cast(docs.schema[name].dataType).alias(name)
+        return F.col("_row").getField(name).alias(name)
+
+    return plain.unionAll(done.select(*map(column, columns), F.col("_n").alias("n_entities")))
 
 
 def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
