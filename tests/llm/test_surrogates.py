@@ -151,7 +151,7 @@ def test_whole_names(spark):
     m = re.fullmatch(rf"Frau Dr\. {word} {word}; {word}\. Ich heiße {word}\. {word}", got[4].text)
     assert m[2] == m[3] and m[4] == m[5] != "Jonas"
     # A mail address is no name, so the word alone is none either.
-    assert re.fullmatch(r"Mr\. [a-z]{5}@[a-z]\.[a-z]{7}\.com [a-z]{5}\.[a-z]{3}@[a-z]\.[a-z]{7}\.com Smith", got[5].text.lower().replace("smith", "Smith")) and got[5].n_entities == 2
+    assert re.fullmatch(r"Mr\. [a-z]{5}@[a-z]\.[a-z]{7}\.com [a-z]{5}\.[a-z]{3}@[a-z]\.[a-z]{7}\.com Smith", got[5].text) and got[5].n_entities == 2
 
 
 def test_phones_with_spaces_and_ipv6(spark):
