@@ -12,13 +12,19 @@ weight of its arc. Three small transducers are composed behind it:
 
 A clause ends at punctuation or a line break and scores the sum of its weighted
 symbols, so an isolated target, negator or verb of saying scores nothing. A
-logistic function of the matched clauses gives the score of a text.
+clause in which an insult stands without any other symbol is no composed match
+and counts by ``LONE_FACTOR``; it is not nothing, as labelled texts may hold
+their insults that way. A contraction with "n't" is one negator. A logistic
+function of the matched clauses gives the score of a text.
 
 The insult arcs are learned: whole words and word beginnings whose document
 counts differ between toxic and clean labelled texts beyond chance. Weights are
 log odds. Everything is fitted on at most ``MAX_TRAINING_DOCS`` labelled
-documents, picked by a hash of their id; that bound is a parameter. Scoring
-covers all documents and whole texts.
+documents, picked by a hash of their id; that bound is a parameter. All arcs
+that pass the test are kept. The odds of an arc count up to ``MOST_ODDS``, as
+those of a rare one are uncertain, and the feature of the strongest clause up to
+``STRONGEST``, about two such arcs, so that one repeated word does not outweigh
+all else. Scoring covers all documents and whole texts.
 
 Defined results: a null or empty text has no clause and gets the score of no
 match; an empty table gives an empty result; without usable labels no arc is
@@ -41,11 +47,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillroll.llm.common import materialize, table
 
 MAX_TRAINING_DOCS = 20_000
-MAX_ARCS = 4_000
 STEM_LENGTHS = range(3, 9)
 
 # Words of the grammar that are not learned.
-NEGATION = frozenset("not no never isn aren wasn don doesn pas jamais nicht kein keine nie nunca tampoco".split())
+NEGATION = frozenset("not no never cannot cant dont didnt wont isnt pas jamais nicht kein keine nie nunca tampoco".split())
 REPORT = frozenset("said says wrote writes claimed called quoted told reported dit écrit disait sagte schrieb dijo escribió".split())
 TARGET = frozenset("you your yours he she him her they them their tu toi vous du dich dir ihr euch usted ustedes vosotros".split())
 THREAT = frozenset("kill murder hurt destroy shoot stab strangle smash crush beat tuer frapper töten schlagen matar golpear".split())
@@ -53,8 +58,11 @@ THREAT_WEIGHT = 6.0
 AIMED_FACTOR = 1.5
 NEGATED_FACTOR = 0.3
 REPORTED_FACTOR = 0.4
+LONE_FACTOR = 0.5
+MOST_ODDS = 6.0
+STRONGEST = 12.0
 
-_TOKENS = re.compile(r"(\w+)|([.,;:!?()|\n\"“”«»])")
+_TOKENS = re.compile(r"(\w+)((?<=n)['’]t\b)?|([.,;:!?()|\n\"“”«»])")
 BOUNDARY = "boundary"
 SYMBOLS = ("insult", "aimed", "threat", "threatened", "target", "negation", "report", "other", BOUNDARY)
 _SCORED = ("insult", "aimed", "threatened")
@@ -148,8 +156,10 @@ class Lexicon:
     weights: dict[str, float]
     known: dict[str, tuple[str, float]] = field(default_factory=dict)
 
-    def read(self, word: str) -> tuple[str, float]:
-        """Symbol and weight of a lower-case word."""
+    def read(self, word: str, contracted: bool = False) -> tuple[str, float]:
+        """Symbol and weight of a lower-case word; ``contracted`` if "'t" follows its n."""
+        if contracted:
+            return "negation", 0.0
         best = max((self.weights.get(a, 0.0) for a in arcs_of(word)), default=0.0)
         if best > 0:
             return "insult", best
@@ -164,27 +174,30 @@ class Lexicon:
 
 def clause_scores(text: str, lexicon: Lexicon) -> tuple[list[float], int]:
     """The scores of the clauses that match, and how many clauses there are."""
-    scores, clauses, score, words = [], 0, 0.0, 0
+    scores: list[float] = []
+    clauses, score, words, symbols = 0, 0.0, 0, 0
     state, arcs = GRAMMAR.start, GRAMMAR.arcs
+
+    def close() -> None:
+        nonlocal clauses, score, words, symbols
+        clauses += words > 0
+        if score:
+            scores.append(score if symbols > 1 else score * LONE_FACTOR)
+        score, words, symbols = 0.0, 0, 0
+
     for token in _TOKENS.finditer(text.lower()):
         word = token[1]
         if word:
-            symbol, weight = lexicon.read(word)
+            symbol, weight = lexicon.read(word, token[2] is not None)
             state, out, factor = arcs[state, symbol]
             words += 1
+            symbols += symbol != "other"
             if out in _SCORED:
                 score += factor * weight
         else:
             state = arcs[state, BOUNDARY][0]
-            if words:
-                clauses += 1
-                if score:
-                    scores.append(score)
-            score, words = 0.0, 0
-    if words:
-        clauses += 1
-        if score:
-            scores.append(score)
+            close()
+    close()
     return scores, clauses
 
 
@@ -193,7 +206,7 @@ N_FEATURES = 4
 
 def features(scores: list[float], clauses: int) -> list[float]:
     """1, all matched weight, the strongest clause, the share of clauses that match."""
-    return [1.0, math.log1p(sum(scores)), min(max(scores, default=0.0), 12.0) / 4, len(scores) / max(clauses, 1)]
+    return [1.0, math.log1p(sum(scores)), min(max(scores, default=0.0), STRONGEST) / 4, len(scores) / max(clauses, 1)]
 
 
 # --- learning -------------------------------------------------------------------------
@@ -236,8 +249,8 @@ def _count_arcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield emptied()
 
 
-def learn_arcs(training: DataFrame, most: int = MAX_ARCS) -> dict[str, float]:
-    """Arc weights from rows of text and label. Collects at most ``most`` arcs."""
+def learn_arcs(training: DataFrame) -> dict[str, float]:
+    """Arc weights from rows of text and label. Collects the arcs that pass, of the bounded sample."""
     n = training.groupBy("label").count().collect()
     total = {r["label"]: r["count"] for r in n}
     n_toxic, n_clean = total.get(1, 0), total.get(0, 0)
@@ -266,7 +279,7 @@ def learn_arcs(training: DataFrame, most: int = MAX_ARCS) -> dict[str, float]:
     tried = summed.count()
     bar = 2 * math.log(max(tried, 2)) + 4
     best = scored.filter((F.col("gain") > bar) & (F.col("odds") > math.log(6)))
-    return {r.arc: min(r.odds, 6.0) for r in best.orderBy(F.desc("gain"), "arc").limit(most).collect()}
+    return {r.arc: min(r.odds, MOST_ODDS) for r in best.collect()}
 
 
 def _features_of(lexicon_weights: dict[str, float]):
@@ -374,7 +387,7 @@ def fit(
     """Learn from ``labels`` joined to ``docs``. At most ``most_docs`` ids are broadcast."""
     sample = F.broadcast(training_sample(labels, most_docs, key, label))
     joined = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(sample, "key")
-    training = joined.select("text", F.col("label").cast("int"))
+    training = materialize(joined.select("text", F.col("label").cast("int")), "toxic-training")
     weights = learn_arcs(training)
     rows = training.mapInArrow(_features_of(weights), "x ARRAY<DOUBLE>, label INT").collect()
     if not weights:
