@@ -92,3 +92,27 @@ def test_least_squares_and_plan():
         assert slope < 1 and (x[j] == 0 or abs(slope) < 1)
     plan = P.make_plan(h, 10)
     assert plan.sequences == -(-int((h * np.arange(11)).sum()) // 10)
+
+
+def test_greedy_fills_and_never_takes_more_than_there_is():
+    pick = random.Random(11)
+    for _ in range(20):
+        histogram = np.zeros(65, np.int64)
+        for _ in range(40):
+            histogram[pick.randrange(1, 65)] += pick.choice([1, 2, 5, 300])
+        for first in np.flatnonzero(histogram).tolist():
+            filled = P.greedy_fill(histogram, first, 64)
+            assert filled[0] == first and sum(filled) <= 64
+            lengths, times = np.unique(filled, return_counts=True)
+            assert (times <= histogram[lengths]).all()
+            room = 64 - sum(filled)
+            rest = histogram.copy()
+            rest[lengths] -= times
+            assert not rest[1 : room + 1].any()
+        plan = P.make_plan(histogram, 64)
+        number = np.concatenate([np.arange(n) for n in histogram])
+        length = np.repeat(np.arange(65), histogram)
+        sequence, offset = plan.place(length, number, 64)
+        places = np.concatenate([s * 64 + o + np.arange(n) for s, o, n in zip(sequence, offset, length)])
+        assert (np.sort(places) == np.arange(length.sum())).all()
+        assert plan.sequences == -(-int(length.sum()) // 64)

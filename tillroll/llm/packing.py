@@ -5,9 +5,10 @@ length are alike, so only the histogram of lengths matters, at most ``window``
 numbers whatever the input. The driver enumerates shallow combinations of one,
 two or three lengths that fill a window exactly, solves for how often each
 should be repeated, ``min |A x - h|`` with ``x >= 0``, rounds down, and takes
-what still fits greedily. What is left over is packed as one stream: its pieces
-follow each other by length and the stream is cut every window, so every
-residual sequence but the last is full as well.
+what still fits greedily. What is left over is packed greedily, the largest
+piece first and then ever the largest that fits; sequences that come out full
+stand. The pieces of the others follow each other by length in one stream that
+is cut every window, so every residual sequence but the last is full as well.
 
 The plan is a list of runs: the i-th to j-th piece of length l go to
 consecutive sequences at one offset, or to consecutive places of the stream. A
@@ -39,7 +40,6 @@ from tillroll.llm.common import materialize, table, whole_text
 WINDOW = 2048
 END_ID = 1
 SALTS = 64
-MAX_COMBINATIONS = 4096
 _WORD_BORDER = re.compile(r"(?<=[^\W\d_]) (?=[^\W\d_])")
 _FREQUENT = 64  # lengths whose triples are enumerated
 
@@ -144,7 +144,7 @@ def _cut(file: str | None, window: int):
 # --- plan --------------------------------------------------------------------------
 
 
-def combinations(histogram: np.ndarray, window: int, most: int = MAX_COMBINATIONS) -> list[tuple[int, ...]]:
+def combinations(histogram: np.ndarray, window: int) -> list[tuple[int, ...]]:
     """Lengths that fill a window: itself, pairs, and triples of the frequent ones."""
     here = histogram > 0
     out: list[tuple[int, ...]] = [(window,)] if here[window] else []
@@ -156,7 +156,7 @@ def combinations(histogram: np.ndarray, window: int, most: int = MAX_COMBINATION
             c = window - a - b
             if c >= b and here[c]:
                 out.append((a, b, c))
-    return out[:most]
+    return out
 
 
 def solve_repeats(combos: list[tuple[int, ...]], histogram: np.ndarray, sweeps: int = 40) -> np.ndarray:
@@ -201,6 +201,17 @@ class Plan:
         return sequence, np.where(flows, at % window, self.offset[run])
 
 
+def greedy_fill(histogram: np.ndarray, first: int, window: int) -> tuple[int, ...]:
+    """``first`` and then ever the largest length that is left and fits."""
+    filled, room = [first], window - first
+    for length in np.flatnonzero(histogram[: room + 1])[::-1].tolist():
+        if length <= room:
+            times = min(int(histogram[length]) - (length == first), room // length)
+            filled += [length] * times
+            room -= length * times
+    return tuple(filled)
+
+
 def make_plan(histogram: np.ndarray, window: int) -> Plan:
     left = histogram.astype(np.int64).copy()
     combos = combinations(left, window)
@@ -225,6 +236,12 @@ def make_plan(histogram: np.ndarray, window: int) -> Plan:
         take(combo, int(x + 1e-9))
     for combo in combos:
         take(combo, 1 << 62)
+    for length in range(window, 0, -1):
+        while left[length]:
+            filled = greedy_fill(left, length, window)
+            if sum(filled) < window:
+                break
+            take(filled, 1 << 62)
     stream = 0
     for length in range(window, 0, -1):
         if left[length]:
