@@ -16,8 +16,8 @@ Defined results: vectors that are null, empty, zero, or hold null or non-finite
 components take no part, nor do rows without an id; rows that repeat a query's
 id count as its own; a query id on several rows is one query, of the smallest
 vector if they differ; finite components of any size are exact to a double's
-digits; vectors are compared only with vectors of their length; equal scores go to the smaller id; an empty table gives an empty result; extra
-columns are ignored.
+digits; vectors are compared only with vectors of their length; equal scores go to the
+smaller id; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,6 +45,14 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return vectors.filter(ok).select(F.col(key).alias("id"), v.cast("array<double>").alias("v"))
 
 
+def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The inner product of each pair of rows, added component by component: the same digits on every machine."""
+    total = np.zeros(len(left))
+    for j in range(left.shape[1]):
+        total += left[:, j] * right[:, j]
+    return total
+
+
 class Codes:
     """int8 codes of vectors, what they leave out, and the vectors themselves."""
 
@@ -53,7 +61,7 @@ class Codes:
         _, exponent = np.frexp(np.abs(vectors).max(1))
         vectors = np.ldexp(vectors, -exponent[:, None])
         self.ids, self.vectors = ids, vectors
-        self.norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+        self.norms = np.sqrt(products(vectors, vectors))
         unit = vectors / self.norms[:, None]
         scale = np.abs(unit).max(1) / 127
         # int8 values; as float32 their products are exact sums, and multiply fast.
@@ -84,7 +92,7 @@ def tile(queries: Codes, candidates: Codes, k: int) -> tuple[np.ndarray, np.ndar
         q += a
         for b in range(0, len(q), 65_536):
             qb, cb = q[b : b + 65_536], c[b : b + 65_536]
-            dot = np.einsum("ij,ij->i", queries.vectors[qb], candidates.vectors[cb])
+            dot = products(queries.vectors[qb], candidates.vectors[cb])
             score = dot / (queries.norms[qb] * candidates.norms[cb])
             out.append((queries.ids[qb], candidates.ids[cb], score))
     if not out:

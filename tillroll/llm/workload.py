@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tillroll.llm.block_neighbours import op8_block_neighbours
-from tillroll.llm import mean_order_clusters
+from tillroll.llm import oracles
 from tillroll.llm.mean_order_clusters import op13_mean_order_clusters
 from tillroll.llm.minimax_shards import op3_minimax_shards
 from tillroll.llm.order_minhash import op12_order_minhash
@@ -35,4 +35,4 @@ QUERIES = {
         op13_mean_order_clusters,
     )
 }
-ORACLE: dict[str, str] = {"op13_mean_order_clusters": mean_order_clusters.ORACLE_SQL}
+ORACLE: dict[str, str] = dict(oracles.SQL)
