@@ -40,6 +40,29 @@ def test_held_out_pages(chain):
     assert right / len(pages) > 0.95
 
 
+def test_held_out_bare_pages(chain):
+    right = {kind: [] for kind in C.BARE_KINDS}
+    for kind, page, main in C.bare_pages(600, seed=4321):
+        right[kind].append(chain.extract(page) == "\n\n".join(main))
+    assert min(sum(v) / len(v) for v in right.values()) > 0.9, {k: sum(v) / len(v) for k, v in right.items()}
+
+
+BARE = [
+    ("<article><p>One paragraph of the story, and nothing else.</p></article>", "One paragraph of the story, and nothing else."),
+    ("<div id=main>A first line of it.<br><br>And a second one.</div>", "A first line of it. And a second one."),
+    ("Only words, no markup at all. And more of them.", "Only words, no markup at all. And more of them."),
+    ("<article><h1>Title</h1><p>Some words here, to begin.</p><p><a href=/x>This whole paragraph is a link.</a></p></article>",
+     "Title\n\nSome words here, to begin.\n\nThis whole paragraph is a link."),
+    ("<nav><a href=x>Home</a></nav>", ""),
+    ("<footer>&copy; 2020 Someone</footer>", ""),
+]
+
+
+@pytest.mark.parametrize("page, text", BARE)
+def test_bare_pages(chain, page, text):
+    assert chain.extract(page) == text
+
+
 def test_pages_of_the_table(chain, spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
     for r in rows:

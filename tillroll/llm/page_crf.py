@@ -8,8 +8,8 @@ of a page together, content or not, and Viterbi decodes the best labelling.
 
 The weights are fitted by maximum likelihood on labelled pages: a bounded number
 that ``labelled_pages`` composes, with the usual page furniture around articles
-under many markups, whose labels are known because each block was written as one
-or the other.
+under many markups, and ``bare_pages``, with little or no markup; their labels
+are known because each block was written as one or the other.
 
 Text: character references decoded, white space inside a block one space (a line
 break element too), trimmed; content blocks in page order joined by a blank line.
@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillroll.llm.common import table
 
 TRAINING_PAGES = 800
+TRAINING_BARE_PAGES = 480
 
 # Elements whose borders do not end a block.
 INLINE = frozenset(
@@ -92,11 +93,11 @@ NAMES = {
 }
 _NAMED = {word: name for name, words in NAMES.items() for word in words.split()}
 _TAGS = "nav header footer aside form article main figure figcaption table ul ol section blockquote pre button label dialog details address menu fieldset a".split()
-_OWN = "p h1 h2 h3 h4 h5 h6 li td th div body section article main blockquote pre dd dt figcaption span button label legend summary caption address header footer nav aside form".split()
+_OWN = "p h1 h2 h3 h4 h5 h6 li td th div body section article main blockquote pre dd dt figcaption span button label legend summary caption address header footer nav aside form root".split()
 _TEXT = (
     ["bias"]
     + [f"words<{n}" for n in (2, 5, 10, 20, 40)]
-    + ["long", "links>0", "links>0.5", "links>0.9", "ends", "no_ends", "commas", "copyright", "pipes", "upper", "digits", "furniture", "first", "last"]
+    + ["long", "links>0", "links>0.5", "links>0.9", "ends", "no_ends", "commas", "copyright", "pipes", "upper", "digits", "furniture", "first", "last", "only"]
 )
 FEATURES = (
     [f"in:{t}" for t in _TAGS] + [f"named:{n}" for n in NAMES] + [f"own:{t}" for t in _OWN] + [f"text:{t}" for t in _TEXT] + ["in:article>header", "in:body>header"]
@@ -234,8 +235,8 @@ def block_features(blocks: list[Block]) -> list[list[int]]:
         words = b.text.count(" ") + 1
         share = b.linked / len(b.text)
         f = set(b.above)
-        if b.own in _OWN:
-            f.add(_INDEX[f"own:{b.own}"])
+        if (b.own or "root") in _OWN:
+            f.add(_INDEX[f"own:{b.own or 'root'}"])
 
         def say(name: str, holds: bool = True) -> None:
             if holds:
@@ -258,6 +259,7 @@ def block_features(blocks: list[Block]) -> list[list[int]]:
         say("furniture", words < 40 and bool(_FURNITURE.search(b.text)))
         say("first", n == 0)
         say("last", n == len(blocks) - 1)
+        say("only", len(blocks) == 1)
         out.append(sorted(f))
     return out
 
@@ -342,24 +344,89 @@ def fit_chain(pages: list[tuple[list[list[int]], list[int]]], rounds: int = 250,
 # --- labelled pages ----------------------------------------------------------------------------
 
 
-def labelled_pages(n: int, seed: int = 1) -> list[tuple[str, list[str]]]:
-    """Pages and the blocks that are their main text, composed from common page parts."""
-    pick = random.Random(seed)
-    letters = "etaoinshrdlucmfwypvbgk"
+class Writer:
+    """Made-up words and sentences."""
+
+    LETTERS = "etaoinshrdlucmfwypvbgk"
+
+    def __init__(self, pick: random.Random):
+        self.pick = pick
 
-    def word() -> str:
-        return "".join(pick.choice(letters) for _ in range(pick.choice((2, 3, 4, 5, 6, 8))))
+    def word(self) -> str:
+        return "".join(self.pick.choice(self.LETTERS) for _ in range(self.pick.choice((2, 3, 4, 5, 6, 8))))
 
-    def words(low: int, high: int) -> str:
-        return " ".join(word() for _ in range(pick.randint(low, high)))
+    def words(self, low: int, high: int) -> str:
+        return " ".join(self.word() for _ in range(self.pick.randint(low, high)))
 
-    def sentence() -> str:
-        text = words(3, 14)
-        text = text.replace(" ", ", ", 1) if pick.random() < 0.3 else text
-        return text.capitalize() + pick.choice("...!?")
+    def sentence(self) -> str:
+        text = self.words(3, 14)
+        text = text.replace(" ", ", ", 1) if self.pick.random() < 0.3 else text
+        return text.capitalize() + self.pick.choice("...!?")
 
-    def prose(low: int = 1, high: int = 7) -> str:
-        return " ".join(sentence() for _ in range(pick.randint(low, high)))
+    def prose(self, low: int = 1, high: int = 7) -> str:
+        return " ".join(self.sentence() for _ in range(self.pick.randint(low, high)))
+
+
+BARE_KINDS = ("paragraph", "plain", "breaks", "paragraphs", "linked", "furniture")
+
+
+def bare_pages(n: int, seed: int = 1) -> list[tuple[str, str, list[str]]]:
+    """Kind, page and main text blocks of pages with little or no markup, kinds in turn."""
+    pick = random.Random(seed)
+    w = Writer(pick)
+
+    def link(text: str) -> str:
+        return f"<a href='/{w.word()}'>{text}</a>"
+
+    def furniture() -> str:
+        return pick.choice((
+            f"<nav>{link(w.words(1, 3))}</nav>",
+            f"<nav><ul><li>{link(w.words(1, 2))}<li>{link(w.words(1, 2))}</ul></nav>",
+            f"<div class='menu'>{link(w.words(1, 2))} | {link(w.words(1, 2))}</div>",
+            f"<footer>&copy; {w.words(1, 3)}</footer>",
+            f"<footer><p>{w.prose(1, 2)}</p></footer>",
+            f"<div class='cookie-notice'><p>{w.prose(1, 2)}</p></div>",
+            f"<aside><h3>{w.words(1, 3)}</h3><p>{w.prose(1, 2)}</p></aside>",
+            f"<form><label>{w.words(1, 3)}</label><button>{w.word()}</button></form>",
+        ))
+
+    out = []
+    for nth in range(n):
+        kind = BARE_KINDS[nth % len(BARE_KINDS)]
+        main = [w.prose() for _ in range(pick.choice((1, 2, 4)))]
+        box = pick.choice(("article", "main", "div class='content'", "div id=main", "section class='post'"))
+        if kind == "paragraph":
+            main = [pick.choice((w.prose(), w.sentence(), w.words(1, 4)))]
+            page = f"<{box}><p>{main[0]}</p></{box.split()[0]}>"
+        elif kind == "plain":
+            main = [" ".join(main)]
+            page = main[0] if pick.random() < 0.6 else f"<html><body>{main[0]}</body></html>"
+        elif kind == "breaks":
+            lines = "<br><br>".join(main)
+            main = [" ".join(main)]
+            page = f"<{box}>{lines}</{box.split()[0]}>" if pick.random() < 0.6 else lines
+        elif kind == "paragraphs":
+            page = "".join(f"<p>{t}</p>" for t in main)
+            page = f"<body>{page}</body>" if pick.random() < 0.5 else page
+        elif kind == "linked":
+            main = [w.words(2, 6).capitalize(), *main, pick.choice((w.sentence(), w.words(1, 5)))]
+            pick.shuffle(main)
+            whole = pick.randrange(len(main))
+            page = "".join(f"<p>{link(t) if i == whole else t}</p>" for i, t in enumerate(main))
+            page = f"<article>{page}</article>"
+        else:
+            main, page = [], furniture() + (furniture() if pick.random() < 0.5 else "")
+        if kind in ("paragraph", "breaks", "linked") and pick.random() < 0.4 and page.startswith("<"):
+            page = f"{furniture()}{page}" if pick.random() < 0.5 else f"{page}{furniture()}"
+        out.append((kind, page, main))
+    return out
+
+
+def labelled_pages(n: int, seed: int = 1) -> list[tuple[str, list[str]]]:
+    """Pages and the blocks that are their main text, composed from common page parts."""
+    pick = random.Random(seed)
+    writer = Writer(pick)
+    word, words, sentence, prose = writer.word, writer.words, writer.sentence, writer.prose
 
     def classed(names: str) -> str:
         return f' {pick.choice(("class", "class", "id"))}="{pick.choice(names.split())}"' if names else ""
@@ -464,8 +531,9 @@ def labelled_pages(n: int, seed: int = 1) -> list[tuple[str, list[str]]]:
 
 @lru_cache(maxsize=1)
 def trained() -> Chain:
-    """The chain fitted on ``TRAINING_PAGES`` composed pages."""
-    return fit_chain([labelled(page, main) for page, main in labelled_pages(TRAINING_PAGES)])
+    """The chain fitted on ``TRAINING_PAGES`` composed pages and ``TRAINING_BARE_PAGES`` bare ones."""
+    pages = labelled_pages(TRAINING_PAGES) + [(page, main) for _, page, main in bare_pages(TRAINING_BARE_PAGES)]
+    return fit_chain([labelled(page, main) for page, main in pages])
 
 
 def labelled(page: str, main: list[str]) -> tuple[list[list[int]], list[int]]:
