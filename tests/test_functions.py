@@ -195,3 +195,17 @@ def test_kv_bag_fills_missing_text(spark):
     (bag,) = apply(spark, ocr.kv_bag, [fields], kind)
     assert bag["Type"] == ["NAME", ""] and bag["Key"] == ["User", ""] and bag["Value"] == ["x", "y"]
     assert bag["KeyConfidence"] == [9.0, None] and bag["ValueConfidence"] == [8.0, None]
+
+
+def test_a_clean_label_is_not_searched_for_replacements(spark):
+    """Labels of letters and digits are taken as they are; all others are cleaned as by the two replacements."""
+    labels = ["DATE", "d4", "", None, " MOBILE: ", "TENANT_IDS", "A  B", "ÉTÉ", "a\nb", "x\x85y", "١", "A\n", "_", " "]
+    space = text.SPACE
+
+    def plainly(label):
+        return F.trim(F.regexp_replace(F.regexp_replace(label, f"[^a-zA-Z0-9{space}]+", ""), f"[{space}]+", " "))
+
+    assert apply(spark, text.clean_label, labels) == apply(spark, plainly, labels)
+    cleaned = spark.createDataFrame([("A",)], "v string").select(text.clean_label(F.col("v")))
+    plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN NOT RLIKE(" in plan
