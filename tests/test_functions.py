@@ -209,3 +209,18 @@ def test_a_clean_label_is_not_searched_for_replacements(spark):
     cleaned = spark.createDataFrame([("A",)], "v string").select(text.clean_label(F.col("v")))
     plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
     assert "CASE WHEN NOT RLIKE(" in plan
+
+
+def test_words_joined_by_underscores_need_no_pattern(spark):
+    labels = ["INVOICE_RECEIPT_DATE", "_", "A_ B", " _A", "É_T", "A_\x1c_B", "A__1", "\x01_\x02"]
+    assert apply(spark, text.clean_label, labels) == ["INVOICERECEIPTDATE", "", "A B", "A", "T", "A B", "A1", ""]
+    cleaned = spark.createDataFrame([("A",)], "v string").select(text.clean_label(F.col("v")))
+    assert "replace(v" in cleaned._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_seconds_are_rounded_once_for_all_parts_of_a_duration(spark):
+    given = [1e20, float("nan"), 90061.000001, 172799.9999999]
+    expected = [None, None, "1 day, 1:01:01.000001", "2 days, 0:00:00"]
+    assert apply(spark, numbers.format_duration, given, "double") == expected
+    duration = spark.createDataFrame([(1.0,)], "v double").select(numbers.format_duration(F.col("v")).alias("d"))
+    assert duration._jdf.queryExecution().optimizedPlan().toString().count("bround(") == 1

@@ -152,3 +152,18 @@ def test_a_document_of_many_pages_is_written_as_json_over_many_files(spark):
 
     assert [f.pop("TotalAmount") for f in found] == [12.35, 0.0, 7.0]
     assert found == [plain(doc) for doc in ("long", "none", "two")]
+
+
+def test_responses_are_derived_without_interpreted_lists(spark):
+    plan = plan_of(derive.responses(spark, SF_DIR))
+    assert "lambda" not in plan and "transform(" not in plan
+
+
+def test_derived_lists_have_as_many_elements_as_the_line_number_says(spark):
+    counts = [(0,), (1,), (2,), (3,), (-1,), (None,)]
+    lists = spark.createDataFrame(counts, "n_items int").select(derive.per_item(lambda j: j * 10).alias("l")).collect()
+    assert [r.l for r in lists] == [[], [10], [10, 20], [10, 20, 30], [], []]
+    cases = spark.createDataFrame([(True, None), (None, "a"), (False, "b"), (True, "c")], "there boolean, e string")
+    one = derive.present((F.col("there"), F.struct("e")), (F.lit(True), F.struct(F.lit("z").alias("e"))))
+    got = [[x.e for x in r.l] for r in cases.select(one.alias("l")).collect()]
+    assert got == [[None, "z"], ["z"], ["z"], ["c", "z"]]
