@@ -284,13 +284,18 @@ def multipage_document(
     Fields and items are the merged lists in long form, one row per list element,
     in the order ``page``, ``doc_no``, ``pos``. Totals have a row per document
     with how many of its pages were rejected; a bad page takes nothing from the
-    good ones. The checked pages are written out once and read three times.
+    good ones. The pages are written out once, with their bags built and the
+    text of bad ones only, and read three times.
     """
     kept = pages_before_duplicate(pages, doc, page, page_hash, work=work)
+    judged = with_bags(check_responses(kept.select(doc, page, F.col(response).alias("raw"))))
+    raw = F.when(F.col("error_type").isNotNull(), F.col("raw"))
     checked = materialize(
-        check_responses(kept.select(doc, page, F.col(response).alias("raw"))), "pages-checked", work
+        judged.select(doc, page, "doc_no", "error_type", "error_message", raw.alias("raw"), "kv", "li", "total"),
+        "pages-checked",
+        work,
     )
-    bags = with_bags(accepted(checked).select(doc, page, "doc_no", "fields", "groups"))
+    bags = accepted(checked)
     kv = bags.select(doc, page, "doc_no", *[F.col(f"kv.{b}").alias(b) for b in _KV_BAGS])
     li = bags.select(doc, page, "doc_no", *[F.col(f"li.{b}").alias(b) for b in _ITEM_BAGS])
     order = [page, "doc_no"]
