@@ -169,6 +169,20 @@ def test_phones_with_spaces_and_ipv6(spark):
     assert got[2].text == texts[2] and got[2].n_entities == 0
 
 
+def test_phones_followed_by_other_numbers(spark):
+    """A match of 20 digits and more: the number of its surrogates is beyond a long."""
+    texts = [
+        "Call +1 (017) 555-7713 4802 1234 5678 now",
+        "Call +1 (0171) 5557 7713 4802 1234 5678, not +1 (0171) 5557 7713 4802 1234 5679",
+        "Call +1 (017) 555-7713 now",
+    ]
+    got = run(spark, texts)
+    a = re.fullmatch(r"Call (\+1 \(\d{3}\) \d{3}-\d{4} \d{4} \d{4} \d{4}) now", got[0].text)[1]
+    b, c = re.fullmatch(r"Call (\+1 \(\d{4}\)(?: \d{4}){5}), not (\+1 \(\d{4}\)(?: \d{4}){5})", got[1].text).groups()
+    assert a not in texts[0] and b not in texts[1] and c not in texts[1] and b != c
+    assert [got[i].n_entities for i in range(3)] == [1, 2, 1] and re.fullmatch(r"Call \+1 \(\d{3}\) \d{3}-\d{4} now", got[2].text)
+
+
 def test_clashing_columns(spark):
     columns = "_found STRING, n_entities STRING, _text_id INT, text STRING, _row INT, _tail INT, kind STRING, nth INT, _text STRING"
     docs = spark.createDataFrame([("f", "n", 1, "Mr. Smith. Smith", 2, 3, "k", 4, "t"), ("f", "n", 1, None, 2, 3, "k", 4, "t")], columns)

@@ -364,7 +364,8 @@ def _with_form(entities: DataFrame) -> DataFrame:
 def _matched(entities: DataFrame, key: str) -> DataFrame | None:
     """kind, norm and surrogate of the numbers whose form is full to an eighth or more; none if no form is."""
     formed = _with_form(entities)
-    pool = F.pow(F.lit(10.0), F.col("drawn")).cast("bigint")
+    # More free digits than a long holds: no corpus fills such a form.
+    pool = F.pow(F.lit(10.0), F.least(F.col("drawn"), F.lit(18))).cast("bigint")
     counted = formed.groupBy(*_FORM, "drawn").agg(F.count(F.lit(1)).alias("n")).withColumn("pool", pool)
     full = materialize(counted.filter(F.col("n") * 8 > F.col("pool")), "full-forms")
     if full.isEmpty():
