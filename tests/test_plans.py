@@ -194,8 +194,9 @@ def test_deriving_responses_leaves_no_method_too_long_to_compile(spark):
     spark.conf.set(adaptive, "false")
     spark.conf.set(broadcast, "-1")
     try:
-        for query in ("responses_to_keyvalue", "responses_to_lineitem_direct", "ocr_to_envelope", "extract_kv"):
-            plan = QUERIES[query](spark, SF_DIR)._jdf.queryExecution().executedPlan()
+        made = {name: QUERIES[name] for name in ("responses_to_keyvalue", "responses_to_lineitem_direct", "ocr_to_envelope", "extract_kv")}
+        for query, make in {**made, "damaged": derive.damaged_responses}.items():
+            plan = make(spark, SF_DIR)._jdf.queryExecution().executedPlan()
             stages = package.codegenStringSeq(plan)
             sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
             assert sizes and max(sizes) < 8000, (query, sizes)
